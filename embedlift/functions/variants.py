@@ -45,17 +45,22 @@ def to_object(fields: Column) -> Column:
     return F.to_variant_object(fields)
 
 
+def type_text(value: Column) -> Column:
+    """Type of a value in words: ``OBJECT<...>``, ``ARRAY<...>``, ``STRING``, ...; ``VOID`` for null."""
+    return F.coalesce(F.schema_of_variant(value), F.lit("VOID"))
+
+
 def kind(value: Column) -> Column:
     """Leading type name of a value: OBJECT, ARRAY, STRING, BIGINT, DOUBLE, DECIMAL, BOOLEAN, VOID."""
-    return F.regexp_extract(F.coalesce(F.schema_of_variant(value), F.lit("VOID")), "^[A-Z_]+", 0)
+    return F.substring_index(F.substring_index(type_text(value), "<", 1), "(", 1)
 
 
 def is_object(value: Column) -> Column:
-    return kind(value) == "OBJECT"
+    return F.startswith(type_text(value), F.lit("OBJECT"))
 
 
 def is_array(value: Column) -> Column:
-    return kind(value) == "ARRAY"
+    return F.startswith(type_text(value), F.lit("ARRAY"))
 
 
 def pair(key: Column, value: Column) -> Column:
@@ -87,7 +92,9 @@ def flatten_map(fields: Column, sep: str = ".", depth: int = 1) -> Column:
                                       lambda f: pair(F.concat(e["key"], F.lit(sep), f["key"]), f["value"]))))
             literal = F.filter(entries, lambda e: ~is_object(e["value"]))
             return map_last(F.concat(lifted, literal))
-        return let(F.map_entries(m), split)
+        # Flat metadata, the usual case, passes through untouched.
+        return let(m, lambda fields: F.when(F.exists(F.map_values(fields), is_object), let(F.map_entries(fields), split))
+                   .otherwise(fields))
 
     for _ in range(depth):
         fields = one_level(fields)
@@ -161,16 +168,21 @@ def is_uuid(record_id: Column) -> Column:
     return record_id.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
 
 
+def is_date_text(value: Column) -> Column:
+    """A string value that looks like an ISO date or time."""
+    return F.try_variant_get(value, "$", "string").rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$")
+
+
 def logical_type(value: Column) -> Column:
     """Logical type name of a value: string, int, float, boolean, string[], array, object, date, null."""
-    text = F.try_variant_get(value, "$", "string")
-    name = kind(value)
-    return (F.when(name == "VOID", "null")
-            .when(name == "OBJECT", "object")
-            .when(F.coalesce(F.schema_of_variant(value), F.lit("")) == "ARRAY<STRING>", "string[]")
-            .when(name == "ARRAY", "array")
-            .when(name == "BOOLEAN", "boolean")
-            .when(name == "BIGINT", "int")
-            .when(name.isin("DOUBLE", "FLOAT", "DECIMAL"), "float")
-            .when((name == "STRING") & text.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$"), "date")
-            .otherwise("string"))
+    def by_type(name: Column) -> Column:
+        return (F.when(name == "VOID", "null")
+                .when(F.startswith(name, F.lit("OBJECT")), "object")
+                .when(name == "ARRAY<STRING>", "string[]")
+                .when(F.startswith(name, F.lit("ARRAY")), "array")
+                .when(name == "BOOLEAN", "boolean")
+                .when(name == "BIGINT", "int")
+                .when(name.isin("DOUBLE", "FLOAT") | F.startswith(name, F.lit("DECIMAL")), "float")
+                .when((name == "STRING") & is_date_text(value), "date")
+                .otherwise("string"))
+    return let(type_text(value), by_type)

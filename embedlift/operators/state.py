@@ -209,8 +209,11 @@ class StateStore:
         """Newest checkpoint row of one migration, None when there is none."""
         return latest_checkpoints(self.checkpoints().filter(F.col("migration_id") == migration_id)).first()
 
-    def save_checkpoint(self, migration_id: str, **values) -> None:
-        """Append a checkpoint; a migration that had not started becomes in progress."""
+    def save_checkpoint(self, migration_id: str, known_state: str | None = None, **values) -> None:
+        """Append a checkpoint; a migration that had not started becomes in progress.
+
+        A caller that knows the state saves looking it up.
+        """
         given = {"migration_id": migration_id, "seq": time.time_ns(), "deleted": False, **values}
         names = [part.split()[0] for part in CHECKPOINT_DDL.split(", ") if not part.endswith(("double", "double>"))]
         unknown = set(given) - set(names)
@@ -219,7 +222,7 @@ class StateStore:
         row = self.spark.createDataFrame([tuple(given.get(n) for n in names)], CHECKPOINT_DDL)
         self._append(row.withColumn("checkpoint_at", F.coalesce("checkpoint_at", F.current_timestamp()))
                      .withColumn("started_at", F.coalesce("started_at", F.current_timestamp())), "checkpoints")
-        if self.state(migration_id) == "not_started":
+        if (known_state or self.state(migration_id)) == "not_started":
             self.set_state(migration_id, "in_progress")
 
     def delete_checkpoint(self, migration_id: str) -> None:

@@ -96,15 +96,18 @@ def _mapped_fields(metadata: Column, mapping: Mapping) -> Column:
     return F.filter(F.array(*entries), lambda e: e["raw"].isNotNull())
 
 
-def apply_mapping(df: DataFrame, mapping: Mapping) -> DataFrame:
-    """Metadata holds only mapped fields; failed conversions are listed in ``_errors``."""
+def apply_mapping(df: DataFrame, mapping: Mapping, shape=None) -> DataFrame:
+    """Metadata holds only mapped fields; failed conversions are listed in ``_errors``.
+
+    ``shape`` may rewrite the map of mapped fields before it is packed again.
+    """
     check_mapping(mapping)
 
     def build(entries: Column) -> Column:
         good = F.filter(entries, lambda e: e["value"].isNotNull())
         failed = F.filter(entries, lambda e: e["value"].isNull())
         fields = F.map_from_entries(F.transform(good, lambda e: V.pair(e["key"], e["value"])))
-        return F.struct(V.to_object(fields).alias("metadata"),
+        return F.struct(V.to_object(shape(fields) if shape else fields).alias("metadata"),
                         F.transform(failed, lambda e: e["key"]).alias("failed"))
 
     mapped = df.withColumn("_m", V.let(_mapped_fields(F.col("metadata"), mapping), build))
@@ -112,13 +115,13 @@ def apply_mapping(df: DataFrame, mapping: Mapping) -> DataFrame:
             .withColumn(ERRORS, F.col("_m.failed")).drop("_m"))
 
 
-def map_records(df: DataFrame, mapping: Mapping, on_error: str = "fail") -> DataFrame:
+def map_records(df: DataFrame, mapping: Mapping, on_error: str = "fail", shape=None) -> DataFrame:
     """Rename and prune metadata, fill defaults, convert values.
 
     ``on_error="fail"`` stops the job at a value that cannot be converted,
     ``"drop"`` leaves such records out (see :func:`rejected_records`).
     """
-    mapped = apply_mapping(df, mapping)
+    mapped = apply_mapping(df, mapping, shape)
     if on_error == "drop":
         return mapped.filter(F.size(ERRORS) == 0).drop(ERRORS)
     if on_error != "fail":
@@ -194,25 +197,30 @@ def map_namespace(df: DataFrame, mode: str, name: str = "namespace") -> DataFram
     return df.withColumn("metadata", V.to_object(F.map_concat(own, extra))).drop("namespace")
 
 
-def coerce_types(df: DataFrame, target: str) -> DataFrame:
-    """Bring every top-level value to a type the target can hold, by the type matrix."""
+def coerced_fields(fields: Column, target: str) -> Column:
+    """Every top-level value as a type the target can hold, by the type matrix."""
     rules = profile(target)
 
     def coerce(_: Column, v: Column) -> Column:
-        kind = V.logical_type(v)
-        out = F.when(kind == "date", converter("to_iso_date")(v)) if rules.arrays == "typed" else None
-        steps = []
-        if rules.integers_as_double:
-            steps.append((kind == "int", converter("to_double")(v)))
-        if rules.arrays == "strings":
-            steps.append((kind.isin("array", "string[]"), converter("to_string_list")(v)))
-        elif rules.arrays == "json":
-            steps.append((kind.isin("array", "string[]"), V.to_json_text(v)))
-        for when, value in steps:
-            out = F.when(when, value) if out is None else out.when(when, value)
-        return F.coalesce(out, v) if out is not None else v
-
-    return _rewrite(df, lambda m: F.transform_values(m, coerce))
+        def by_type(name: Column) -> Column:
+            array = F.startswith(name, F.lit("ARRAY"))
+            out = F.when(F.lit(False), v)
+            if rules.integers_as_double:
+                out = out.when(name == "BIGINT", converter("to_double")(v))
+            if rules.arrays == "strings":
+                out = out.when(array & (name != "ARRAY<STRING>"), converter("to_string_list")(v))
+            elif rules.arrays == "json":
+                out = out.when(array, V.to_json_text(v))
+            elif rules.arrays == "typed":
+                out = out.when((name == "STRING") & V.is_date_text(v), converter("to_iso_date")(v))
+            return F.coalesce(out, v)
+        return V.let(V.type_text(v), by_type)
+
+    return fields if rules.arrays == "any" else F.transform_values(fields, coerce)
+
+
+def coerce_types(df: DataFrame, target: str) -> DataFrame:
+    return _rewrite(df, lambda m: coerced_fields(m, target))
 
 
 def cast_vectors(df: DataFrame) -> DataFrame:
@@ -228,25 +236,33 @@ def dense_vectors_to_sparse(df: DataFrame) -> DataFrame:
     return df.withColumn("sparse", dense_to_sparse(F.col("vector")))
 
 
-def shape_for(df: DataFrame, source: str, target: str, depth: int = 4) -> DataFrame:
-    """Rules that follow from what source and target can hold.
+def shaped_fields(fields: Column, source: str, target: str, depth: int = 4) -> Column:
+    """Field rules that follow from what source and target can hold.
 
-    Numbers of a store that keeps everything as float are narrowed where the
-    target knows integers; nested objects and arrays take the form the target
-    allows; ids become UUIDs where required.
+    Nested objects and arrays take the form the target allows; numbers of a
+    store that keeps everything as float are narrowed where the target knows
+    integers.
     """
     src, dst = profile(source), profile(target)
     if source == "pinecone" and target == "qdrant":
-        df = flatten_metadata(df, ".", 1)
+        fields = V.flatten_map(fields, ".", 1)
     elif not dst.nested:
-        df = flatten_metadata(df, "_", depth)
+        fields = V.flatten_map(fields, "_", depth)
     if src.integers_as_double and not dst.integers_as_double:
-        df = narrow_numbers(df)
-    if dst.arrays != "any":
-        df = coerce_types(df, target)
-    if dst.id_rule == "uuid":
+        fields = F.transform_values(fields, lambda _, v: V.narrow_number(v))
+    return coerced_fields(fields, target)
+
+
+def _shape_rest(df: DataFrame, source: str, target: str) -> DataFrame:
+    """UUID ids where required, and the namespace where the target keeps it."""
+    if profile(target).id_rule == "uuid":
         df = derive_uuid(df)
-    return _place_namespace(df, src, dst)
+    return _place_namespace(df, profile(source), profile(target))
+
+
+def shape_for(df: DataFrame, source: str, target: str, depth: int = 4) -> DataFrame:
+    """Records of one store type in the form another one wants, all fields kept."""
+    return _shape_rest(_rewrite(df, lambda m: shaped_fields(m, source, target, depth)), source, target)
 
 
 def _place_namespace(df: DataFrame, src: Profile, dst: Profile) -> DataFrame:
@@ -257,5 +273,6 @@ def _place_namespace(df: DataFrame, src: Profile, dst: Profile) -> DataFrame:
 
 def migrate_records(df: DataFrame, mapping: Mapping, on_error: str = "fail", depth: int = 4) -> DataFrame:
     """Source records as the target wants them: mapping first, then the rules of the pair."""
-    mapped = map_records(df, mapping, on_error)
-    return shape_for(mapped, mapping.source_type, mapping.target_type, depth)
+    mapped = map_records(df, mapping, on_error,
+                         lambda m: shaped_fields(m, mapping.source_type, mapping.target_type, depth))
+    return _shape_rest(mapped, mapping.source_type, mapping.target_type)

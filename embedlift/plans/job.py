@@ -77,7 +77,7 @@ def run_migration(source: DataFrame, target: Collection, state: StateStore, conf
     if now == "in_progress":
         raise ValueError("migration already running; use resume_migration")
     total = source.count()
-    state.save_checkpoint(config.migration_id, total_records=total, processed_count=0, failed_count=0, batch_no=0)
+    state.save_checkpoint(config.migration_id, known_state=now, total_records=total, processed_count=0, failed_count=0, batch_no=0)
     if now != "not_started":
         state.set_state(config.migration_id, "in_progress")
     return _run(source, target, state, config, total, 0, 0, 0)
@@ -111,8 +111,9 @@ def _run(source, target, state, config, total, done, failed, batches) -> str:
             done, failed = done + seen["n"] - rejected, failed + rejected
             batches += -(-seen["n"] // config.batch_size)
             if step % config.checkpoint_every == 0 or step == config.steps:
-                state.save_checkpoint(config.migration_id, last_processed_id=seen["last"], total_records=total,
-                                      processed_count=done, failed_count=failed, batch_no=batches)
+                state.save_checkpoint(config.migration_id, known_state=status, last_processed_id=seen["last"],
+                                      total_records=total, processed_count=done, failed_count=failed,
+                                      batch_no=batches)
             if config.validate_every and step % config.validate_every == 0:
                 expected = migrate_records(part, config.mapping, config.on_error)
                 summary, _ = validate_migration(expected, target.snapshot(), config.sample_rate)
