@@ -45,7 +45,8 @@ def vector_distance(a: Column, b: Column, metric: str = "cosine") -> Column:
     elif metric == "manhattan":
         value = _sum_of(a, b, lambda x, y: F.abs(x - y))
     elif metric == "hamming":
-        value = _sum_of(a, b, lambda x, y: (x != y).cast("double"))
+        value = _sum_of(a, b, lambda x, y: F.when(F.isnan(x) | F.isnan(y), F.lit(float("nan")))
+                        .otherwise((x != y).cast("double")))
     else:
         value = _sum_of(a, b, lambda x, y: (x - y) * (x - y))
         if metric == "euclidean":

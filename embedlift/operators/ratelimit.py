@@ -110,7 +110,7 @@ def _entry_states(ranged: DataFrame, per_minute: int, burst: int) -> dict[int, i
     """State with which the first key of a partition starts, where the key began in an earlier one.
 
     Only partition summaries reach the driver: two keys per partition, and about
-    two pieces per token of burst for partitions that a single key fills.
+    one piece per token of burst for partitions that a single key fills.
     """
     bounds = sorted(ranged.groupBy("_pid").agg(F.min("_key"), F.max("_key")).collect())
     spanning = {pid: last for (pid, _, last), (_, following, _) in zip(bounds, bounds[1:]) if last == following}

@@ -95,10 +95,18 @@ def resume_migration(source: DataFrame, target: Collection, state: StateStore, c
 
 
 def _run(source, target, state, config, total, done, failed, batches) -> str:
+    last_id, saved = None, True
+
+    def save(status: str) -> None:
+        state.save_checkpoint(config.migration_id, known_state=status, last_processed_id=last_id, total_records=total,
+                              processed_count=done, failed_count=failed, batch_no=batches)
+
     try:
         for step, part in _steps(source, config):
             status, reason = _control(state, config.migration_id)
             if status != "in_progress" or reason in (PAUSED, STOPPED):
+                if not saved:
+                    save(status)
                 return status
             seen = part.agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")).first()
             if not seen["n"]:
@@ -110,10 +118,9 @@ def _run(source, target, state, config, total, done, failed, batches) -> str:
                           batch_id=f"{config.migration_id}:{seen['last']}")
             done, failed = done + seen["n"] - rejected, failed + rejected
             batches += -(-seen["n"] // config.batch_size)
-            if step % config.checkpoint_every == 0 or step == config.steps:
-                state.save_checkpoint(config.migration_id, known_state=status, last_processed_id=seen["last"],
-                                      total_records=total, processed_count=done, failed_count=failed,
-                                      batch_no=batches)
+            last_id, saved = seen["last"], step % config.checkpoint_every == 0
+            if saved:
+                save(status)
             if config.validate_every and step % config.validate_every == 0:
                 expected = migrate_records(part, config.mapping, config.on_error)
                 summary, _ = validate_migration(expected, target.snapshot(), config.sample_rate)
@@ -121,6 +128,8 @@ def _run(source, target, state, config, total, done, failed, batches) -> str:
                 if alert:
                     state.set_state(config.migration_id, "rolled_back", alert["reason"])
                     return "rolled_back"
+        if not saved:
+            save("in_progress")
     except Exception as error:
         state.set_state(config.migration_id, "failed", str(error).splitlines()[0][:500])
         raise

@@ -26,6 +26,11 @@ def _one_or_many(record: Column, page: Column) -> Column:
     return F.explode(F.when(page.isNotNull(), page).otherwise(F.array(record)))
 
 
+def _present(value: Column) -> Column:
+    """A JSON null in place of the metadata means that there is none."""
+    return F.when(~F.is_variant_null(value), value)
+
+
 def _known_id(df: DataFrame) -> DataFrame:
     return df.filter(F.col("id").isNotNull() & (F.col("id") != ""))
 
@@ -36,7 +41,7 @@ def read_pinecone(spark: SparkSession, path: str, multiline: bool = False) -> Da
     own = F.struct("id", "values", "sparse_values", "metadata")
     rows = raw.select("namespace", _one_or_many(own, F.col("vectors")).alias("r"))
     return _known_id(rows.select(
-        F.col("r.id").alias("id"), F.col("r.values").alias("vector"), F.col("r.metadata").alias("metadata"),
+        F.col("r.id").alias("id"), F.col("r.values").alias("vector"), _present(F.col("r.metadata")).alias("metadata"),
         F.col("r.sparse_values").alias("sparse"), "namespace"))
 
 
@@ -46,7 +51,7 @@ def read_qdrant(spark: SparkSession, path: str, multiline: bool = False) -> Data
     rows = raw.select(_one_or_many(F.struct("id", "vector", "payload"), F.col("result.points")).alias("r"))
     return _known_id(rows.select(
         V.scalar_text(F.col("r.id")).alias("id"), F.col("r.vector").alias("vector"),
-        F.col("r.payload").alias("metadata")))
+        _present(F.col("r.payload")).alias("metadata")))
 
 
 def read_weaviate(spark: SparkSession, path: str, class_name: str | None = None,
@@ -58,7 +63,7 @@ def read_weaviate(spark: SparkSession, path: str, class_name: str | None = None,
     id are dropped, vector slots that are no numbers become 0, and a page that
     reports errors fails the read.
     """
-    text = spark.read.option("wholetext", multiline).text(path)
+    text = spark.read.text(path, wholetext=multiline)
     page = text.select(F.try_parse_json("value").alias("page")).filter(F.col("page").isNotNull())
     errors = F.try_variant_get("page", "$.errors", "array<variant>")
     message = F.coalesce(F.try_variant_get("page", "$.errors[0].message", "string"), F.lit("unknown error"))
@@ -103,7 +108,7 @@ def read_milvus(spark: SparkSession, path: str, json_field: str = "metadata_json
 
     The JSON field is merged in; a field of its own beats a member of the same name.
     """
-    text = spark.read.option("wholetext", multiline).text(path)
+    text = spark.read.text(path, wholetext=multiline)
     rows = text.select(F.try_parse_json("value").alias("item")).filter(F.col("item").isNotNull())
     reserved = ("id", "embedding", json_field)
     own = F.map_filter(V.as_map(F.col("item")), lambda k, _: ~k.isin(*reserved))
