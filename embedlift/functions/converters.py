@@ -11,6 +11,7 @@ from embedlift.functions import variants as V
 
 Converter = Callable[[Column], Column]
 _registry: dict[str, Converter] = {}
+_changes = 0
 
 
 def register_converter(name: str, build: Converter) -> None:
@@ -20,7 +21,14 @@ def register_converter(name: str, build: Converter) -> None:
     result for a present value marks the record as failed. Built-in functions
     keep the work in the JVM, a pandas UDF works as well.
     """
+    global _changes
     _registry[name] = build
+    _changes += 1
+
+
+def registrations() -> int:
+    """Grows with every registration; columns built before are out of date."""
+    return _changes
 
 
 def converter(name: str) -> Converter:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VMAP = "map<string,variant>"
@@ -19,6 +19,24 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters and projections must not compute again.
+
+    A generator of one row stands between: predicates on the column stay above
+    it instead of being rewritten in terms of ``value``.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def rows_of(df: DataFrame, found: Column, name: str, keep: list[Column]) -> DataFrame:
+    """One row per element of a costly array, which is computed once.
+
+    ``explode`` alone would add a filter on the size of the array and so
+    compute it twice.
+    """
+    return df.select(*keep, F.explode_outer(found).alias(name)).filter(F.col(name).isNotNull())
+
+
 def field_path(name: str) -> str:
     """Path of a top-level field, whatever characters its name has."""
     quote = "'" if '"' in name else '"'
@@ -67,38 +85,40 @@ def pair(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"))
 
 
-def map_last(entries: Column) -> Column:
-    """Entries to map; of entries with one key the last counts."""
-    def build(es: Column) -> Column:
-        keys = F.transform(es, lambda e: e["key"])
-        distinct = F.array_distinct(keys)
-        return (F.when(F.size(distinct) == F.size(keys), F.map_from_entries(es))
-                .otherwise(F.map_from_arrays(distinct, F.transform(
-                    distinct, lambda k: F.element_at(F.filter(es, lambda e: e["key"] == k), -1)["value"]))))
-    return let(entries, build)
-
-
 def flatten_map(fields: Column, sep: str = ".", depth: int = 1) -> Column:
     """Lift the members of nested objects up by ``depth`` levels.
 
-    A key written out literally beats a lifted one of the same name; arrays and
-    scalars stay as they are and empty objects vanish.
+    Arrays and scalars stay as they are and empty objects vanish. Of entries
+    that end up with one key, the one lifted least counts (so a key written out
+    literally beats a lifted one), then the last.
     """
-    def one_level(m: Column) -> Column:
-        def split(entries: Column) -> Column:
-            lifted = F.flatten(F.transform(
-                F.filter(entries, lambda e: is_object(e["value"])),
-                lambda e: F.transform(F.map_entries(as_map(e["value"])),
-                                      lambda f: pair(F.concat(e["key"], F.lit(sep), f["key"]), f["value"]))))
-            literal = F.filter(entries, lambda e: ~is_object(e["value"]))
-            return map_last(F.concat(lifted, literal))
-        # Flat metadata, the usual case, passes through untouched.
-        return let(m, lambda fields: F.when(F.exists(F.map_values(fields), is_object), let(F.map_entries(fields), split))
-                   .otherwise(fields))
-
-    for _ in range(depth):
-        fields = one_level(fields)
-    return fields
+    def entry(key: Column, value: Column, lifted: Column) -> Column:
+        return F.struct(key.alias("key"), value.alias("value"), lifted.alias("lifted"))
+
+    def members(e: Column) -> Column:
+        return F.transform(F.map_entries(as_map(e["value"])), lambda f: entry(
+            F.concat(e["key"], F.lit(sep), f["key"]), f["value"], e["lifted"] + 1))
+
+    def pick(es: Column, key: Column) -> Column:
+        def least(same: Column) -> Column:
+            fewest = F.array_min(F.transform(same, lambda e: e["lifted"]))
+            return F.element_at(F.filter(same, lambda e: e["lifted"] == fewest), -1)["value"]
+        return let(F.filter(es, lambda e: e["key"] == key), least)
+
+    def pack(es: Column) -> Column:
+        keys = F.transform(es, lambda e: e["key"])
+        return let(F.array_distinct(keys), lambda distinct: F.map_from_arrays(distinct, F.when(
+            F.size(distinct) == F.size(es), F.transform(es, lambda e: e["value"]))
+            .otherwise(F.transform(distinct, lambda key: pick(es, key)))))
+
+    def lift(m: Column) -> Column:
+        es = F.transform(F.map_entries(m), lambda e: entry(e["key"], e["value"], F.lit(0)))
+        for _ in range(depth):
+            es = F.flatten(F.transform(es, lambda e: F.when(is_object(e["value"]), members(e)).otherwise(F.array(e))))
+        return let(es, pack)
+
+    # Flat metadata, the usual case, passes through untouched.
+    return let(fields, lambda m: F.when(F.exists(F.map_values(m), is_object), lift(m)).otherwise(m))
 
 
 def unflatten_map(fields: Column, sep: str = ".", depth: int = 1) -> Column:
@@ -173,16 +193,18 @@ def is_date_text(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string").rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}.*)?$")
 
 
-def logical_type(value: Column) -> Column:
-    """Logical type name of a value: string, int, float, boolean, string[], array, object, date, null."""
-    def by_type(name: Column) -> Column:
-        return (F.when(name == "VOID", "null")
-                .when(F.startswith(name, F.lit("OBJECT")), "object")
-                .when(name == "ARRAY<STRING>", "string[]")
-                .when(F.startswith(name, F.lit("ARRAY")), "array")
-                .when(name == "BOOLEAN", "boolean")
-                .when(name == "BIGINT", "int")
-                .when(name.isin("DOUBLE", "FLOAT") | F.startswith(name, F.lit("DECIMAL")), "float")
-                .when((name == "STRING") & is_date_text(value), "date")
-                .otherwise("string"))
-    return let(type_text(value), by_type)
+def logical_type(value: Column, name: Column | None = None) -> Column:
+    """Logical type name of a value: string, int, float, boolean, string[], array, object, date, null.
+
+    ``name`` is the value's :func:`type_text` where that is a column already.
+    """
+    name = type_text(value) if name is None else name
+    return (F.when(name == "STRING", F.when(is_date_text(value), "date").otherwise("string"))
+            .when(name == "BIGINT", "int")
+            .when(name.isin("DOUBLE", "FLOAT") | F.startswith(name, F.lit("DECIMAL")), "float")
+            .when(name == "BOOLEAN", "boolean")
+            .when(name == "VOID", "null")
+            .when(F.startswith(name, F.lit("OBJECT")), "object")
+            .when(name == "ARRAY<STRING>", "string[]")
+            .when(F.startswith(name, F.lit("ARRAY")), "array")
+            .otherwise("string"))

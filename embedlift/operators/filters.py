@@ -48,8 +48,8 @@ def check_target_constraints(df: DataFrame, target: str) -> DataFrame:
         per_field.append((lambda v: V.is_array(v), "array must be JSON text"))
     for failed, message in per_field:
         checks = F.concat(checks, _broken_fields(metadata, failed, message))
-    return (df.select(F.col("id").alias("record_id"), F.explode(checks).alias("v"))
-            .select("record_id", "v.field", "v.message"))
+    found = V.rows_of(df, checks, "v", [F.col("id").alias("record_id")])
+    return found.select("record_id", "v.field", "v.message")
 
 
 def payload_condition(name: str, op: str, value, as_type: str | None = None) -> Column:

@@ -129,28 +129,37 @@ def infer_schema(df: DataFrame, sample_rate: float | None = None, max_depth: int
     """Metadata fields found in records: ``path, type, n_values`` (after grouping ``keys``).
 
     Nested objects are followed to ``max_depth``. A sample, if asked for, is
-    chosen by a hash of the id and so is the same on every run. Counting is
-    partial per task, so a field that every record has is no hot spot.
+    chosen by a hash of the id and so is the same on every run.
+
+    Fields become rows level by level in one pass and are counted per task by
+    the whole chain of names and types, of which there are few; the chains are
+    taken apart after that.
     """
     if sample_rate is not None:
         from embedlift.operators.validate import sampled
         df = sampled(df, sample_rate)
-    found = F.array().cast("array<struct<path:string,type:string>>")
-    level = F.transform(F.map_entries(V.as_map(F.col("metadata"))),
-                        lambda e: F.struct(e["key"].alias("path"), e["value"].alias("value")))
-    typed = lambda es: F.transform(es, lambda e: F.struct(
-        e["path"].alias("path"), V.logical_type(e["value"]).alias("type")))
-    for depth in range(max_depth):
-        df = df.withColumn("_level", level)
-        found = F.concat(found, typed(F.col("_level")))
-        df = df.withColumn("_found", found)
-        found = F.col("_found")
-        level = F.flatten(F.transform(
-            F.filter("_level", lambda e: V.is_object(e["value"])),
-            lambda e: F.transform(F.map_entries(V.as_map(e["value"])), lambda f: F.struct(
-                F.concat(e["path"], F.lit("."), f["key"]).alias("path"), f["value"].alias("value")))))
-    return (df.select(*keys, F.explode("_found").alias("f")).groupBy(*keys, "f.path", "f.type")
-            .agg(F.count(F.lit(1)).alias("n_values"))
+    rows = df.select(*keys, F.col("metadata").alias("_value0"), V.type_text(F.col("metadata")).alias("_text0"))
+    chain = []
+    for level in range(1, max_depth + 1):
+        parent = F.col(f"_value{level - 1}")
+        members = df.sparkSession.tvf.variant_explode_outer(
+            F.when(F.startswith(f"_text{level - 1}", F.lit("OBJECT")), parent).outer()).toDF(f"_pos{level}", f"_key{level}", f"_value{level}")
+        value, text = F.col(f"_value{level}"), F.col(f"_text{level}")
+        rows = rows.lateralJoin(members).withColumn(f"_text{level}", V.type_text(value)).withColumn(
+            f"_type{level}", F.when(F.col(f"_key{level}").isNotNull(), V.logical_type(value, text)))
+        chain += [f"_key{level}", f"_type{level}"]
+    # An object of n members fills n rows; it counts once, with the row of its first member.
+    firsts, first = [], F.lit(True)
+    for level in range(max_depth, 0, -1):
+        firsts.append(F.count_if(first).alias(f"_n{level}"))
+        first = first & (F.coalesce(f"_pos{level}", F.lit(0)) == 0)
+    counted = rows.groupBy(*keys, *chain).agg(*firsts)
+    fields = F.array(*[
+        F.struct(F.concat_ws(".", *[f"_key{i}" for i in range(1, level + 1)]).alias("path"),
+                 F.col(f"_type{level}").alias("type"), F.col(f"_n{level}").alias("n"))
+        for level in range(1, max_depth + 1)])
+    found = counted.select(*keys, F.explode(fields).alias("f")).filter("f.type IS NOT NULL AND f.n > 0")
+    return (found.groupBy(*keys, "f.path", "f.type").agg(F.sum("f.n").alias("n_values"))
             .select(*keys, "path", "type", "n_values"))
 
 

@@ -58,8 +58,11 @@ def set_state(events: DataFrame, changes: DataFrame) -> DataFrame:
     return events.unionByName(checked.select(*events.columns))
 
 
-def latest_checkpoints(checkpoints: DataFrame) -> DataFrame:
-    """Newest checkpoint of each migration, without deleted ones."""
+def latest_checkpoints(checkpoints: DataFrame, *columns: str) -> DataFrame:
+    """Newest checkpoint of each migration, without deleted ones; only ``columns`` if any are named."""
+    if columns:
+        kept = ["migration_id", "seq", *columns, *(["deleted"] if "deleted" in checkpoints.columns else [])]
+        checkpoints = checkpoints.select(*kept)
     newest = latest_per_migration(checkpoints)
     return newest.filter(~F.coalesce("deleted", F.lit(False))) if "deleted" in checkpoints.columns else newest
 
@@ -102,7 +105,8 @@ def migration_status(ids: DataFrame, events: DataFrame, checkpoints: DataFrame)
     guarded = ids.select(F.when(F.coalesce(F.col("migration_id"), F.lit("")) != "", F.col("migration_id")).otherwise(
         F.raise_error(F.lit("migration_id is required and must be a non-empty string"))).alias("migration_id"))
     joined = (guarded.join(current_states(events), "migration_id", "left")
-              .join(latest_checkpoints(checkpoints), "migration_id", "left"))
+              .join(latest_checkpoints(checkpoints, "total_records", "processed_count", "batch_no", "started_at",
+                                       "checkpoint_at"), "migration_id", "left"))
     ended = F.when(F.col("state").isin(*TERMINAL), F.col("checkpoint_at"))
     return joined.select(
         "migration_id", F.coalesce("state", F.lit("not_started")).alias("status"),
@@ -127,7 +131,7 @@ def list_migrations(events: DataFrame, checkpoints: DataFrame, status: str | Non
     keys = [sort_by] if sort_by == "migration_id" else [sort_by, "migration_id"]
     order = [F.col(k).asc() if sort_order == "asc" else F.col(k).desc() for k in keys]
     page = found.orderBy(*order).offset(offset).limit(limit)
-    done = latest_checkpoints(checkpoints).select("migration_id", "total_records", "processed_count")
+    done = latest_checkpoints(checkpoints, "total_records", "processed_count")
     has_total = F.col("total_records") > 0
     joined = page.join(done, "migration_id", "left")
     return joined.select(

@@ -6,12 +6,14 @@ All of them are projections: one pass, no shuffle, no Python.
 from __future__ import annotations
 
 from dataclasses import dataclass, field as dataclass_field
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from embedlift.functions import variants as V
-from embedlift.functions.converters import converter
+from embedlift.functions.converters import converter, registrations
 from embedlift.functions.vectors import cast_vector, dense_to_sparse, sparse_to_dense
 from embedlift.model import Profile, profile
 
@@ -96,32 +98,43 @@ def _mapped_fields(metadata: Column, mapping: Mapping) -> Column:
     return F.filter(F.array(*entries), lambda e: e["raw"].isNotNull())
 
 
-def apply_mapping(df: DataFrame, mapping: Mapping, shape=None) -> DataFrame:
-    """Metadata holds only mapped fields; failed conversions are listed in ``_errors``.
+@lru_cache(maxsize=256)
+def _mapped_column(mapping: Mapping, depth: int | None, registered: int, gateway: int) -> Column:
+    """The mapping as one column ``struct<metadata, failed>``.
 
-    ``shape`` may rewrite the map of mapped fields before it is packed again.
+    Building a column of many lambdas takes the driver about a second, so that
+    of a mapping is kept for the next step or micro-batch.
     """
-    check_mapping(mapping)
-
     def build(entries: Column) -> Column:
         good = F.filter(entries, lambda e: e["value"].isNotNull())
         failed = F.filter(entries, lambda e: e["value"].isNull())
         fields = F.map_from_entries(F.transform(good, lambda e: V.pair(e["key"], e["value"])))
-        return F.struct(V.to_object(shape(fields) if shape else fields).alias("metadata"),
-                        F.transform(failed, lambda e: e["key"]).alias("failed"))
+        if depth is not None:
+            fields = shaped_fields(fields, mapping.source_type, mapping.target_type, depth)
+        return F.struct(V.to_object(fields).alias("metadata"), F.transform(failed, lambda e: e["key"]).alias("failed"))
+
+    return V.let(_mapped_fields(F.col("metadata"), mapping), build)
+
 
-    mapped = df.withColumn("_m", V.let(_mapped_fields(F.col("metadata"), mapping), build))
+def apply_mapping(df: DataFrame, mapping: Mapping, depth: int | None = None) -> DataFrame:
+    """Metadata holds only mapped fields; failed conversions are listed in ``_errors``.
+
+    With a ``depth`` the fields also take the form the target type needs.
+    """
+    check_mapping(mapping)
+    column = _mapped_column(mapping, depth, registrations(), id(SparkContext._gateway))
+    mapped = V.with_once(df, "_m", column)
     return (mapped.withColumn("metadata", F.col("_m.metadata"))
             .withColumn(ERRORS, F.col("_m.failed")).drop("_m"))
 
 
-def map_records(df: DataFrame, mapping: Mapping, on_error: str = "fail", shape=None) -> DataFrame:
+def map_records(df: DataFrame, mapping: Mapping, on_error: str = "fail", depth: int | None = None) -> DataFrame:
     """Rename and prune metadata, fill defaults, convert values.
 
     ``on_error="fail"`` stops the job at a value that cannot be converted,
     ``"drop"`` leaves such records out (see :func:`rejected_records`).
     """
-    mapped = apply_mapping(df, mapping, shape)
+    mapped = apply_mapping(df, mapping, depth)
     if on_error == "drop":
         return mapped.filter(F.size(ERRORS) == 0).drop(ERRORS)
     if on_error != "fail":
@@ -273,6 +286,5 @@ def _place_namespace(df: DataFrame, src: Profile, dst: Profile) -> DataFrame:
 
 def migrate_records(df: DataFrame, mapping: Mapping, on_error: str = "fail", depth: int = 4) -> DataFrame:
     """Source records as the target wants them: mapping first, then the rules of the pair."""
-    mapped = map_records(df, mapping, on_error,
-                         lambda m: shaped_fields(m, mapping.source_type, mapping.target_type, depth))
+    mapped = map_records(df, mapping, on_error, depth)
     return _shape_rest(mapped, mapping.source_type, mapping.target_type)

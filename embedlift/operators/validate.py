@@ -78,8 +78,8 @@ def validation_errors(pairs: DataFrame, threshold: float = SIMILARITY_THRESHOLD,
                    .when(a.isNotNull() & (F.to_json(a) != F.to_json(b)), "Metadata value differs"))
         found.append(F.when(F.col("found") & message.isNotNull(),
                             F.struct(F.lit(name).alias("field"), message.alias("message"))))
-    return (pairs.select(F.col("id").alias("record_id"), F.explode(F.array_compact(F.array(*found))).alias("e"))
-            .select("record_id", "e.field", "e.message"))
+    rows = V.rows_of(pairs, F.array_compact(F.array(*found)), "e", [F.col("id").alias("record_id")])
+    return rows.select("record_id", "e.field", "e.message")
 
 
 def validate_migration(source: DataFrame, target: DataFrame, sample_rate: float | None = 0.1,

@@ -26,14 +26,14 @@ def meta(name, as_type="string"):
     return V.field(F.col("metadata"), name, as_type)
 
 
-def _record_files(spark, sf, label, files=3):
+def _record_files(spark, sf, label, files=8):
     """Event records as a folder of change files."""
     root = scratch_path(spark, label)
     event_records(spark, sf).repartition(files, "id").write.parquet(f"{root}/in")
     return root
 
 
-def _stream(spark, root, files_per_batch=1):
+def _stream(spark, root, files_per_batch=4):
     return stream_records(spark, f"{root}/in", files_per_batch=files_per_batch)
 
 
@@ -64,7 +64,7 @@ def migrate_events(spark, sf):
 def write_both(spark, sf):
     root = _record_files(spark, sf, "dual")
     old, new = Collection(spark, f"{root}/old"), Collection(spark, f"{root}/new")
-    dual_write(_stream(spark, root, 2), [(old, None), (new, MAPPING)], f"{root}/ck").awaitTermination()
+    dual_write(_stream(spark, root), [(old, None), (new, MAPPING)], f"{root}/ck").awaitTermination()
     return _mapped(new.snapshot()).join(old.snapshot().select("id", meta("k", "int").alias("k")), "id")
 
 
@@ -96,7 +96,7 @@ SELECT count(*) AS total_records, count(*) FILTER (WHERE event_type <> 'error')
        round(avg(CASE WHEN event_type = 'error' THEN -1 ELSE 1 END), 6) AS avg_similarity, -1 AS min_similarity, 1 AS max_similarity FROM events""")
 def validate_events(spark, sf):
     """The target has the vectors of error events turned around."""
-    root = _record_files(spark, sf, "validate", 2)
+    root = _record_files(spark, sf, "validate")
     target = Collection(spark, f"{root}/target")
     is_error = F.try_variant_get("metadata", "$.evt.type", "string") == "error"
     turned = F.when(is_error, F.transform("vector", lambda x: -x)).otherwise(F.col("vector"))
@@ -109,7 +109,7 @@ def validate_events(spark, sf):
 
 @query("progress_stream", "SELECT 'events' AS migration_id, count(*) AS processed_count, 2 AS batch_no FROM events")
 def progress_of_events(spark, sf):
-    root = _record_files(spark, sf, "progress", 2)
+    root = _record_files(spark, sf, "progress")
     state = StateStore(spark, f"{root}/state")
     progress_stream(_stream(spark, root), state, f"{root}/ck", "events").awaitTermination()
     return latest_checkpoints(state.checkpoints()).select("migration_id", "processed_count", "batch_no")

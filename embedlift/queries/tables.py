@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from embedlift.sources.records import records_from
+from embedlift.workspace import spread
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -77,14 +78,14 @@ COSINE_SQL = """CASE WHEN len(a) = len(b) THEN
 def document_records(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with its whole text as metadata; the vector where there is one."""
     d, e = table(spark, sf, "documents"), table(spark, sf, "embeddings")
-    rows = d.join(e, d.doc_id == e.vec_id, "left").withColumn("id", id_text("doc_id")).withColumn(
+    rows = spread(d).join(e, d.doc_id == e.vec_id, "left").withColumn("id", id_text("doc_id")).withColumn(
         "n_chars", F.col("n_chars").cast("double"))
     return records_from(rows, "id", "embedding", ["lang", "source", "n_chars", "text"])
 
 
 def event_records(spark: SparkSession, sf: str) -> DataFrame:
     """Every event as a record with nested metadata, an array and a two-dimensional vector."""
-    ev = table(spark, sf, "events").withColumn("id", id_text("event_id"))
+    ev = spread(table(spark, sf, "events")).withColumn("id", id_text("event_id"))
     k = F.get_json_object("props", "$.k").cast("int")
     return records_from(ev, "id", F.array(F.col("value"), k.cast("double")), {
         "evt": F.struct(F.col("event_type").alias("type"), F.col("value").alias("value")),

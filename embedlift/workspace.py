@@ -66,3 +66,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows; stops reading after that."""
     return df.limit(max_rows + 1).count() <= max_rows
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly projections over a table of very few files.
+
+    A table of any size has more partitions than that and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 2 * df.rdd.getNumPartitions() <= cores else df
