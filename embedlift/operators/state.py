@@ -131,7 +131,9 @@ def list_migrations(events: DataFrame, checkpoints: DataFrame, status: str | Non
     keys = [sort_by] if sort_by == "migration_id" else [sort_by, "migration_id"]
     order = [F.col(k).asc() if sort_order == "asc" else F.col(k).desc() for k in keys]
     page = found.orderBy(*order).offset(offset).limit(limit)
-    done = latest_checkpoints(checkpoints, "total_records", "processed_count")
+    # A page has at most 500 migrations: only their checkpoints are grouped.
+    listed = F.broadcast(page.select("migration_id"))
+    done = latest_checkpoints(checkpoints.join(listed, "migration_id", "left_semi"), "total_records", "processed_count")
     has_total = F.col("total_records") > 0
     joined = page.join(done, "migration_id", "left")
     return joined.select(

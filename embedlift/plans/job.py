@@ -19,7 +19,7 @@ from embedlift.operators.transform import (ERRORS, Mapping, apply_mapping, check
                                            rejected_records)
 from embedlift.operators.validate import rollback_alert, validate_migration
 from embedlift.sinks.collection import Collection
-from embedlift.sources.batches import DEFAULT_BATCH, number_in_order, resume_filter
+from embedlift.sources.batches import DEFAULT_BATCH, range_bounds, resume_filter
 
 PAUSED, STOPPED = "pause requested", "stop requested"
 
@@ -138,16 +138,15 @@ def _run(source, target, state, config, total, done, failed, batches) -> str:
 
 
 def _steps(source: DataFrame, config: MigrationConfig):
-    """Parts of the source in id order, cut at batch borders; one part needs no numbering."""
-    if config.steps <= 1:
-        yield 1, source
-        return
-    numbered = number_in_order(source, "id", name="_row")
-    n = numbered.count()
-    per_step = max(1, -(-n // (config.steps * config.batch_size))) * config.batch_size
-    for step in range(1, config.steps + 1):
-        low = (step - 1) * per_step
-        yield step, numbered.filter((F.col("_row") >= low) & (F.col("_row") < low + per_step)).drop("_row")
+    """Parts of the source by ranges of ids; a filter on id reaches the scan of every part."""
+    bounds = range_bounds(source.select("id"), config.steps, config.batch_size) if config.steps > 1 else []
+    for step, (low, high) in enumerate(zip([None, *bounds], [*bounds, None]), 1):
+        part = source
+        if low is not None:
+            part = part.filter(F.col("id") > low)
+        if high is not None:
+            part = part.filter(F.col("id") <= high)
+        yield step, part
 
 
 def dry_run(source: DataFrame, mapping: Mapping) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from embedlift.operators.state import StateStore
 from embedlift.operators.transform import Mapping, check_mapping, migrate_records
-from embedlift.operators.validate import pair_records, with_similarity
+from embedlift.operators.validate import pair_records, sampled, with_similarity
 from embedlift.model import SIMILARITY_THRESHOLD
 from embedlift.sinks.collection import Collection
 from embedlift.sinks.merge import dedupe_last_write
@@ -99,6 +99,18 @@ def cdc_sync(stream: DataFrame, target: Collection, checkpoint: str, name: str =
     return _start(stream, step, checkpoint, continuous, name)
 
 
+_BROADCAST_IDS = 1_000_000
+
+
+def _matching(batch: DataFrame, records: DataFrame) -> DataFrame:
+    """The records a batch can pair with: its id range reaches the scan, few ids also go as a broadcast."""
+    seen = batch.agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n")).first()
+    near = records.filter((F.col("id") >= seen["low"]) & (F.col("id") <= seen["high"]))
+    if seen["n"] > _BROADCAST_IDS:
+        return near
+    return near.join(F.broadcast(batch.select("id").distinct()), "id", "left_semi")
+
+
 VALIDATION_DDL = ("batch_no bigint, total_records bigint, valid_records bigint, measured bigint, "
                   "similarity_sum double, min_similarity double, max_similarity double")
 
@@ -110,7 +122,8 @@ def validate_stream(stream: DataFrame, target: Collection, runs_path: str, check
     A replayed batch overwrites its own row, so it does not count twice.
     """
     def step(batch: DataFrame, number: int) -> None:
-        pairs = with_similarity(pair_records(batch, target.snapshot(), sample_rate))
+        sample = sampled(batch, sample_rate)
+        pairs = with_similarity(pair_records(sample, _matching(sample, target.snapshot())))
         sums = pairs.agg(
             F.count(F.lit(1)).alias("total_records"),
             F.count_if(F.coalesce(F.col("similarity") >= threshold, F.lit(False))).alias("valid_records"),

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from embedlift.functions import variants as V
-from embedlift.sources.batches import assign_batches, get_batch, resume_filter
+from embedlift.sources.batches import assign_batches, get_batch, number_in_order, range_bounds, resume_filter
 from embedlift.sources.checks import check_source
 from embedlift.sources.paged import paged_source
 from embedlift.sources.records import (read_milvus, read_pinecone, read_qdrant, read_weaviate, records_with_rejects)
@@ -99,6 +99,19 @@ def test_batches_number_copies_of_one_id_too(spark):
     df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.lpad(F.col("id").cast("string"), 5, "0")).alias("id"))
     got = assign_batches(df, 64, partitions=7).groupBy("batch_no").count().orderBy("batch_no").collect()
     assert [r["count"] for r in got] == [64] * 15 + [40]
+    split = number_in_order(df, "id", name="n", partitions=7, hot_copies=100)
+    assert sorted(r["n"] for r in split.collect()) == list(range(1000)) and split.columns == ["id", "n"]
+
+
+def test_ranges_of_ids(spark):
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.lpad(F.col("id").cast("string"), 5, "0")).alias("id"))
+    bounds = range_bounds(df, 4, 10)
+    assert bounds == sorted(bounds) and len(bounds) <= 3
+    cuts = [None, *bounds, None]
+    parts = [df.filter((F.col("id") > low) if low else F.lit(True)).filter((F.col("id") <= high) if high else F.lit(True)).count()
+             for low, high in zip(cuts, cuts[1:])]
+    assert sum(parts) == 1000 and all(parts)
+    assert range_bounds(df.filter("false"), 4) == [] and range_bounds(df, 1) == []
 
 
 def test_check_source(spark, records):
