@@ -108,14 +108,15 @@ def _run(source, target, state, config, total, done, failed, batches) -> str:
                 if not saved:
                     save(status)
                 return status
-            seen = part.agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")).first()
+            seen = part.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(
+                F.sum("n").alias("n"), F.max("id").alias("last"), F.max("n").alias("copies")).first()
             if not seen["n"]:
                 continue
             rejected = 0
             if config.on_error == "drop":
                 rejected = apply_mapping(part, config.mapping).filter(F.size(ERRORS) > 0).count()
             target.upsert(migrate_records(part, config.mapping, config.on_error),
-                          batch_id=f"{config.migration_id}:{seen['last']}")
+                          batch_id=f"{config.migration_id}:{seen['last']}", unique=seen["copies"] == 1)
             done, failed = done + seen["n"] - rejected, failed + rejected
             batches += -(-seen["n"] // config.batch_size)
             last_id, saved = seen["last"], step % config.checkpoint_every == 0
