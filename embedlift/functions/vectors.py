@@ -2,7 +2,7 @@
 
 Two forms of each metric: ``vector_distance`` is a plain expression, and
 ``vector_distance_arrow`` runs numpy over Arrow batches (about three times
-faster from 64 dimensions on). Both give NULL for NULL vectors or elements,
+faster in a measurement with 64 dimensions, reading aside). Both give NULL for NULL vectors or elements,
 unequal lengths, a zero norm (cosine) or a result that is no number.
 """
 
