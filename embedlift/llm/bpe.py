@@ -13,16 +13,17 @@ each. Two identical blocks of rows (same ids and texts throughout) give both the
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from embedlift.llm.wordtable import Coding, coded
+from embedlift.llm.base import without
+from embedlift.llm.wordtable import Coding, coded, slices
 
 #: str.split takes these for white space, the tokenizer does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
@@ -64,12 +65,17 @@ def _joined(texts: list[np.ndarray], codes: list[bytes]) -> list[pa.Array]:
 
 def decoded(encodings: DataFrame, tokenizer: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``encodings`` with the text of ``ids``, special pieces included; an unknown id raises an error."""
-    @F.arrow_udf(StringType())
-    def text(lists: pa.Array) -> pa.Array:
-        return _texts(lists, _pieces(tokenizer))
+    kept = without(encodings, [into])
 
-    kept = [F.col(f"`{c}`") for c in encodings.columns if c.lower() != into.lower()]
-    return encodings.select(*kept, text(F.col(f"`{ids}`")).alias(into))
+    def texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(tokenizer)
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index(ids))
+            for begin, stop in slices(lists.offsets.to_numpy()):
+                part = batch.slice(begin, stop - begin)
+                yield pa.RecordBatch.from_arrays([*part.columns, _texts(lists[begin:stop], pieces)], names=[*part.schema.names, into])
+
+    return kept.mapInArrow(texts, StructType([*kept.schema.fields, StructField(into, StringType())]))
 
 
 @cache
@@ -79,14 +85,8 @@ def _pieces(path: str) -> pa.Array:
     return pa.array([t.id_to_token(i) for i in range(t.get_vocab_size())], pa.large_string())
 
 
-def _texts(lists: pa.Array, pieces: pa.Array) -> pa.Array:
-    out: list[str | None] = []
-    ends, flat = lists.offsets.to_numpy(), lists.values
-    begin = 0
-    while begin < len(lists):  # so many lists at a time that their pieces stay small
-        stop = max(begin + 1, int(np.searchsorted(ends, ends[begin] + (1 << 20), "right")) - 1)
-        words = pieces.take(flat[ends[begin]:ends[stop]])
-        offsets = pa.array((ends[begin:stop + 1] - ends[begin]).astype(np.int64))
-        out += pc.binary_join(pa.LargeListArray.from_arrays(offsets, words), pa.scalar(" ", pa.large_string())).to_pylist()
-        begin = stop
-    return pc.if_else(lists.is_valid(), pa.array(out, pa.string()), pa.scalar(None, pa.string()))
+def _texts(lists: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    words = pieces.take(lists.values[ends[0]:ends[-1]])
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(ends - ends[0]), words), pa.scalar(" ", pa.large_string()))
+    return pc.if_else(lists.is_valid(), joined.cast(pa.string()), pa.scalar(None, pa.string()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from embedlift.llm import bpe, quality, tokencount, warc
+from embedlift.llm import bpe, decontaminate, lines, ordermin, pseudolm, quality, runindex, secrets, tokencount, warc
 from embedlift.llm.base import QUERIES, register, table
 from embedlift.workspace import scratch_path
 
@@ -57,6 +57,20 @@ from m
 """
 
 
+@register("op4_repeated_passages")
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runindex.repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op5_pseudo_likelihood")
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pseudolm.scored(docs, pseudolm.train(docs))
+    return found.select("doc_id", "n_words", F.round("score", 3).alias("score"), F.round("mean_score", 6).alias("mean_score"))
+
+
 @register("op6_quality_rules", OP6_SQL)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,6 +78,24 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], "base_failed", "kept")
 
 
+@register("op1_benchmark_leaks")
+def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op2_secret_scan")
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"), secrets.labelled_findings(spark))
+    return found.select("doc_id", "at", "kind", F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
+@register("op3_fuzzy_line_dedup")
+def op3_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduplicated(docs).select("doc_id", F.col("n_removed_lines").cast("long").alias("n_removed_lines"),
+                                           F.length("text").cast("long").alias("n_chars_kept"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 @register("op7_bpe_codec")
 def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
@@ -78,6 +110,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+@register("op9_order_minhash")
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordermin.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op10_warc_reassembly", """
 with p as (select page_id, coalesce(html, '') as body from pages),
 q as (select page_id, octet_length(encode(body)) as payload_bytes, sha256(body) as payload_digest from p),

@@ -19,6 +19,7 @@ total length comes out with ``problem`` set and a null payload.
 from __future__ import annotations
 
 import gzip
+import io
 import re
 from collections.abc import Iterable, Iterator
 
@@ -29,20 +30,20 @@ from pyspark.sql.types import BinaryType
 
 SEGMENT_CHARS = 32768
 CHUNK_CHARS = 8192
-RECORDS_PER_FILE = 4000
+RECORDS_PER_FILE = 2000
 #: Payloads below this are never replaced by a revisit.
 REVISIT_BYTES = 100
 _EOL = "\r\n"
 _PART = "number int, total long, block binary"
-_RECORD = f"record_id string, origin_id string, record_type string, page_id long, refers_to long, payload_digest string, {_PART}"
+_RECORD = f"record_id string, origin_id string, record_type string, page_id long, refers_to long, payload_bytes long, payload_digest string, {_PART}"
 
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
     """Write one record per page; equal payloads become revisits of the one with the smallest id."""
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
     base = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), body.alias("body"),
-                        F.sha2(F.encode(body, "utf-8"), 256).alias("digest"))
-    shared = (base.where(F.octet_length("body") >= REVISIT_BYTES).groupBy("digest")
+                        F.sha2(F.encode(body, "utf-8"), 256).alias("digest"), F.octet_length(body).alias("bytes"))
+    shared = (base.where(F.col("bytes") >= REVISIT_BYTES).groupBy("digest")
               .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null").drop("n"))
     rows = (base.join(shared, "digest", "left")
             .withColumn("refers", F.expr("case when first is not null and not (page_id <=> first) then first end"))
@@ -72,6 +73,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
                          field("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
                          F.when(first, field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest")))),
                          F.when(first, field("X-Page-Id", F.col("page_id"))),
+                         F.when(first, field("X-Payload-Length", F.col("bytes"))),
                          F.when(first, field("X-Refers-To-Page", F.col("refers"))),
                          F.when(first & F.col("refers").isNotNull(), field("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))),
                          F.when(cut, field("WARC-Segment-Number", F.col("at") + 1)),
@@ -83,46 +85,47 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
      .option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
 
 
-_HEADER = re.compile(rb"WARC/1\.[01]\r\n(.*?)\r\n\r\n", re.S)
-
-
 def records_in(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Fields (names in lower case) and block of each record of one archive; gzip in one or many members, or plain."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
-    at = 0
-    while at < len(data):
-        found = _HEADER.match(data, at)
-        if not found:
-            raise ValueError(f"no record header at byte {at}")
+    source = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+    while line := source.readline():
+        if line == b"\r\n":
+            continue
+        if not re.fullmatch(rb"WARC/1\.[01]\r\n", line):
+            raise ValueError(f"no record header: {line[:80]!r}")
         fields = {}
-        for line in found[1].decode("utf-8", "replace").split(_EOL):
-            name, _, value = line.partition(":")
+        while (line := source.readline()) not in (b"\r\n", b""):
+            name, _, value = line.decode("utf-8", "replace").partition(":")
             fields[name.strip().lower()] = value.strip()
-        begin, n = found.end(), int(fields.get("content-length", -1))
-        if n < 0 or begin + n > len(data):
-            raise ValueError(f"record at byte {at} is cut off or has no length")
-        yield fields, data[begin:begin + n]
-        at = begin + n
-        while data[at:at + 2] == b"\r\n":
-            at += 2
+        n = int(fields.get("content-length", -1))
+        block = source.read(max(n, 0))
+        if n < 0 or len(block) < n:
+            raise ValueError("record is cut off or has no length")
+        yield fields, block
+
+
+_BATCH_BYTES = 4 << 20
 
 
 def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = lambda v: int(v) if v is not None else None
+    rows, size = [], 0
     for batch in batches:
         for data in batch.column(0):
-            rows = []
             for f, block in records_in(data.as_py()):
                 rows.append({"record_id": f["warc-record-id"], "origin_id": f.get("warc-segment-origin-id", f["warc-record-id"]), "record_type": f["warc-type"],
-                             "page_id": number(f.get("x-page-id")), "refers_to": number(f.get("x-refers-to-page")),
+                             "page_id": number(f.get("x-page-id")), "refers_to": number(f.get("x-refers-to-page")), "payload_bytes": number(f.get("x-payload-length")),
                              "payload_digest": f.get("warc-payload-digest", "").rpartition(":")[2] or None,
                              "number": number(f.get("warc-segment-number")), "total": number(f.get("warc-segment-total-length")), "block": block})
-            yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
+                size += len(block)
+                if size >= _BATCH_BYTES or len(rows) >= 1000:
+                    yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
+                    rows, size = [], 0
+    yield pa.RecordBatch.from_pylist(rows, _SCHEMA)
 
 
-_SCHEMA = pa.schema([("record_id", pa.string()), ("origin_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()),
-                     ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
+_SCHEMA = pa.schema([("record_id", pa.string()), ("origin_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()), ("refers_to", pa.int64()),
+                     ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("block", pa.binary())])
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -137,13 +140,13 @@ def reassembled(records: DataFrame) -> DataFrame:
     """
     whole = records.where("number is null").withColumn("problem", F.lit(None).cast("string"))
     cut = records.where("number is not null").groupBy("origin_id").agg(
-        *[F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in ("record_id", "record_type", "page_id", "refers_to", "payload_digest")],
+        *[F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in ("record_id", "record_type", "page_id", "refers_to", "payload_bytes", "payload_digest")],
         F.max("total").alias("total"), F.sort_array(F.collect_list(F.struct("number", "block"))).alias("parts"))
     joined = (cut.withColumn("problem", F.expr(
         "case when total is null or size(parts) != parts[size(parts) - 1].number or parts[0].number != 1 then 'segments are missing' "
         "when aggregate(parts, 0L, (n, p) -> n + octet_length(p.block)) != total then 'total length differs' end"))
         .withColumn("block", F.expr("aggregate(parts, cast('' as binary), (b, p) -> concat(b, p.block))")))
-    columns = ["record_id", "record_type", "page_id", "refers_to", "payload_digest", "block", "problem"]
+    columns = ["record_id", "record_type", "page_id", "refers_to", "payload_bytes", "payload_digest", "block", "problem"]
     return whole.select(*columns).unionByName(joined.select(*columns))
 
 
@@ -184,19 +187,21 @@ def _payload(blocks: pa.Array) -> pa.Array:
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages of the archives: page_id, record_type, refers_to, payload (null for revisits), payload_bytes, payload_digest, problem.
 
-    A revisit takes length and digest from the response with its digest; a response's are computed from what was decoded.
+    Length and digest of a response are computed from what was decoded and compared with its fields; a revisit has those
+    of the payload it stands for in its fields. ``dangling`` finds revisits without their response.
     """
-    logical = reassembled(read_records(spark, path))
-    responses = logical.where("record_type = 'response'").select(
-        "page_id", "record_type", F.lit(None).cast("long").alias("refers_to"), F.when(F.col("problem").isNull(), _payload("block")).alias("payload"),
-        F.col("payload_digest").alias("said"), "problem")
-    responses = responses.withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha2("payload", 256))
-    responses = responses.withColumn("problem", F.expr("coalesce(problem, case when payload is null then 'framing is broken' "
-                                                       "when payload_digest != said then 'digest differs' end)"))
-    revisits = logical.where("record_type = 'revisit'").select("page_id", "record_type", "refers_to", F.lit(None).cast("binary").alias("payload"),
-                                                              "payload_digest", "problem")
-    known = (responses.where("problem is null").groupBy("payload_digest").agg(F.max("payload_bytes").alias("payload_bytes")))
-    revisits = revisits.join(known, "payload_digest", "left").withColumn(
-        "problem", F.expr("coalesce(problem, case when payload_bytes is null then 'response is missing' end)"))
-    columns = ["page_id", "record_type", "refers_to", "payload", "payload_bytes", "payload_digest", "problem"]
-    return responses.select(*columns).unionByName(revisits.select(*columns))
+    pages = reassembled(read_records(spark, path)).where("record_type in ('response', 'revisit')")
+    response = F.col("record_type") == "response"
+    pages = (pages.withColumn("payload", _payload(F.when(response & F.col("problem").isNull(), F.col("block")))).drop("block")
+             .withColumn("own", F.when(response, F.sha2("payload", 256))).withColumn("size", F.when(response, F.octet_length("payload").cast("long"))))
+    problem = F.coalesce("problem", F.when(response & F.col("payload").isNull(), "framing is broken")
+                         .when(response & ((F.col("own") != F.col("payload_digest")) | (F.col("size") != F.col("payload_bytes"))), "digest or length differs")
+                         .when(F.col("payload_bytes").isNull() & ~response, "length is missing"))
+    return pages.select("page_id", "record_type", "refers_to", "payload", F.coalesce("size", "payload_bytes").alias("payload_bytes"),
+                        F.coalesce("own", "payload_digest").alias("payload_digest"), problem.alias("problem"))
+
+
+def dangling(pages: DataFrame) -> DataFrame:
+    """Revisits whose payload no response has."""
+    whole = pages.where("record_type = 'response' and problem is null").select("payload_digest").distinct()
+    return pages.where("record_type = 'revisit'").join(whole, "payload_digest", "left_anti")

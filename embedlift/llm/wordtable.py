@@ -96,7 +96,7 @@ def coded(docs: DataFrame, coding: Coding, result: str, id_col: str = "doc_id",
                 flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
                 if len(flat) and flat.max() >= len(found):
                     raise RuntimeError("the documents were read differently the second time; store them first")
-                for begin, stop in _slices(ends):
+                for begin, stop in slices(ends):
                     part = [flat[ends[i]:ends[i + 1]] for i in range(begin, stop)]
                     out.append(pa.RecordBatch.from_arrays([*(t[c].combine_chunks()[begin:stop] for c in ("id", "size")), *coding.joined(part, found)],
                                                           names=[id_col, "n_bytes", *names]))
@@ -108,7 +108,7 @@ def coded(docs: DataFrame, coding: Coding, result: str, id_col: str = "doc_id",
     return texts.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(put_together, f"`{id_col}` {id_type}, n_bytes long, {result}")
 
 
-def _slices(ends: np.ndarray, words: int = 1 << 18) -> Iterator[tuple[int, int]]:
+def slices(ends: np.ndarray, words: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Consecutive texts of about so many words together."""
     begin = 0
     while begin < len(ends) - 1:
