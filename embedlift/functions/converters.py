@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from embedlift.functions import variants as V
+from embedlift.functions.text import rfc3339
 
 Converter = Callable[[Column], Column]
 _registry: dict[str, Converter] = {}
@@ -57,7 +58,7 @@ def _string_list(v: Column) -> Column:
 
 def _iso_date(v: Column) -> Column:
     ts = F.try_to_timestamp(F.try_variant_get(v, "$", "string"))
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").cast("variant")
+    return rfc3339(ts).cast("variant")
 
 
 register_converter("auto_number", V.narrow_number)

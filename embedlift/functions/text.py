@@ -33,8 +33,10 @@ def bearer_key(header: Column) -> Column:
 
 
 def rfc3339(ts: Column) -> Column:
-    """UTC time text; the argument is a session-zone TIMESTAMP or a TIMESTAMP_NTZ in UTC."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """UTC time text of a TIMESTAMP, or of a TIMESTAMP_NTZ that is in UTC, in any session zone."""
+    since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.unix_seconds(ts.cast("timestamp")).cast("decimal(18,6)"))
+    utc = F.when(F.typeof(ts) == "timestamp_ntz", ts.cast("timestamp_ntz")).otherwise(F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + since)
+    return F.concat(F.replace(F.substring(utc.cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("Z"))
 
 
 def parse_rfc3339(text: Column) -> Column:

@@ -77,6 +77,21 @@ def is_object(value: Column) -> Column:
     return F.startswith(type_text(value), F.lit("OBJECT"))
 
 
+def nesting(df: DataFrame, column: str = "metadata", most: int = 64) -> int:
+    """Levels of objects in a variant column: 0 without any field, 1 for flat objects.
+
+    Counted on the distinct types of the values; arrays count as a level, so the answer may be
+    larger but never smaller. Deeper nesting than ``most`` is an error.
+    """
+    brackets = F.regexp_replace(F.regexp_replace(type_text(F.col(column)), "`[^`]*`", ""), "[^<>]", "")
+    step = lambda a, c: F.struct((a["now"] + F.when(c == "<", 1).otherwise(-1)).alias("now"), F.greatest(a["most"], a["now"] + F.when(c == "<", 1).otherwise(0)).alias("most"))
+    forms = df.select(brackets.alias("b")).where("b <> ''").groupBy("b").agg(F.count(F.lit(1)))
+    deepest = forms.select(F.aggregate(F.filter(F.split("b", ""), lambda c: c != ""), F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")), step, lambda a: a["most"]).alias("d")).agg(F.max("d")).first()[0] or 0
+    if deepest > most:
+        raise ValueError(f"{column} is nested in {deepest} levels; at most {most} are handled")
+    return deepest
+
+
 def is_array(value: Column) -> Column:
     return F.startswith(type_text(value), F.lit("ARRAY"))
 

@@ -100,6 +100,11 @@ ALLOWED_TRANSITIONS = [
     ("in_progress", "rolled_back"),
     ("failed", "rolled_back"),
     ("completed", "rolled_back"),
+    # a failed run is resumed; a new run of a finished migration starts over
+    ("failed", "in_progress"),
+    ("completed", "not_started"),
+    ("failed", "not_started"),
+    ("rolled_back", "not_started"),
 ]
 
 RPC_CODES = {

@@ -124,11 +124,12 @@ def validate_mapping(mappings: DataFrame) -> DataFrame:
     return mappings.withColumn("error", error)
 
 
-def infer_schema(df: DataFrame, sample_rate: float | None = None, max_depth: int = 3,
+def infer_schema(df: DataFrame, sample_rate: float | None = None, max_depth: int | None = None,
                  keys: tuple[str, ...] = ()) -> DataFrame:
     """Metadata fields found in records: ``path, type, n_values`` (after grouping ``keys``).
 
-    Nested objects are followed to ``max_depth``. A sample, if asked for, is
+    Nested objects are followed to the depth that exists, found out in a pass over their types
+    first, or to ``max_depth``. A sample, if asked for, is
     chosen by a hash of the id and so is the same on every run.
 
     Fields become rows level by level in one pass and are counted per task by
@@ -138,6 +139,7 @@ def infer_schema(df: DataFrame, sample_rate: float | None = None, max_depth: int
     if sample_rate is not None:
         from embedlift.operators.validate import sampled
         df = sampled(df, sample_rate)
+    max_depth = max_depth or max(1, V.nesting(df))
     rows = df.select(*keys, F.col("metadata").alias("_value0"), V.type_text(F.col("metadata")).alias("_text0"))
     chain = []
     for level in range(1, max_depth + 1):

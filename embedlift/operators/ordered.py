@@ -1,9 +1,10 @@
 """Window results over ordered rows of a key, however many rows one key has.
 
-A plain window puts all rows of a key into one task. Here the rows of a key are
-cut into chunks of its sequence number, windows run per ``(key, chunk)``, and
-what crosses a chunk border is carried over by a second window that only sees
-one row per chunk. ``seq`` must be an integer that is unique within a key.
+A plain window puts all rows of a key into one task. Here rows are range
+partitioned by key and sequence number, whatever numbers those are, so a busy
+key spans several partitions. Windows run per key and partition, and what
+crosses a border is carried over by a second window that only sees one row per
+key and partition. ``seq`` must be unique within a key.
 """
 
 from __future__ import annotations
@@ -12,19 +13,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from embedlift.workspace import checkpointed
+
 CHUNK_ROWS = 1_000_000
 
 
 def with_context(df: DataFrame, key: str, seq: str, previous: tuple[str, ...] = (), running: dict[str, str] | None = None,
-                 position: str | None = None, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                 position: str | None = None, chunks: int | None = None) -> DataFrame:
     """Add values that depend on the earlier rows of a key.
 
     ``previous`` adds ``prev_<name>`` from the row before; ``running`` maps new
     columns to columns to sum up to and including the row; ``position`` names a
-    column with the number of the row, from 0.
+    column with the number of the row, from 0. ``chunks`` sets the number of partitions.
     """
     running = running or {}
-    chunked = df.withColumn("_chunk", F.floor(F.col(seq) / chunk_rows))
+    ranged = df.repartitionByRange(chunks, key, seq) if chunks else df.repartitionByRange(key, seq)
+    # borders and rows must see the same partitions, so these are stored
+    chunked = checkpointed(ranged.withColumn("_chunk", F.spark_partition_id()))
     inside = Window.partitionBy(key, "_chunk").orderBy(seq)
     so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
     rows = chunked
@@ -47,7 +52,8 @@ def with_context(df: DataFrame, key: str, seq: str, previous: tuple[str, ...] =
     carried += [F.coalesce(F.sum(f"_sum_{name}").over(earlier), F.lit(0)).alias(f"_base_{name}") for name in running]
     borders = chunked.groupBy(key, "_chunk").agg(*measures).select(key, "_chunk", *carried)
 
-    joined = rows.join(borders, [key, "_chunk"])
+    borders = borders.withColumnsRenamed({key: "_key", "_chunk": "_its"})
+    joined = rows.join(borders, rows[key].eqNullSafe(borders["_key"]) & (rows["_chunk"] == borders["_its"]))
     if previous:
         before = F.coalesce("_prev", "_carry")
         joined = joined.select("*", *[before[name].alias(f"prev_{name}") for name in previous])

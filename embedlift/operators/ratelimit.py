@@ -140,14 +140,14 @@ def _entry_states(ranged: DataFrame, per_minute: int, burst: int) -> dict[int, i
         if pieces is None and v is not None:
             pieces = [(v, v, True, v)]
         if pieces:
-            yield pd.DataFrame({"_pid": pid, "pieces": [[[p[0], p[1], int(p[2]), p[3]] for p in pieces]]})
+            yield pd.DataFrame({"_pid": pid, "pieces": [[[str(int(x)) for x in p] for p in pieces]]})
 
     found = {row["_pid"]: row["pieces"] for row in
-             ranged.select("_pid", "_key", "_t").mapInPandas(summarise, "_pid int, pieces array<array<bigint>>").collect()}
+             ranged.select("_pid", "_key", "_t").mapInPandas(summarise, "_pid int, pieces array<array<string>>").collect()}
     entry: dict[int, int] = {}
     for (pid, _, last), (following, _, _) in zip(bounds, bounds[1:]):
         if pid in spanning:
-            pieces = [(p[0], p[1], bool(p[2]), p[3]) for p in found[pid]]
+            pieces = [(int(p[0]), int(p[1]), p[2] == "1", int(p[3])) for p in found[pid]]
             starts_here = pid not in whole
             entry[following] = pieces[0][3] if starts_here else resolve(pieces, entry.get(pid))
     return entry

@@ -16,6 +16,8 @@ from embedlift.operators.filters import payload_filter
 
 _BROADCAST_BYTES = 64 << 20
 _BLOCK_BYTES = 64 << 20
+_SCORE_BYTES = 16 << 20
+_SALTS = 16
 _RANK_DECIMALS = 12
 _HITS = "query_id string, id string, score double"
 SMALLER_IS_NEARER = ("euclidean", "l2-squared", "manhattan", "hamming")
@@ -24,7 +26,7 @@ SMALLER_IS_NEARER = ("euclidean", "l2-squared", "manhattan", "hamming")
 def _best_finder(metric: str, keep: int):
     """Closure with the block kernel; it is shipped to the workers as one object."""
     nearer_small = metric in SMALLER_IS_NEARER
-    decimals = _RANK_DECIMALS
+    decimals, score_bytes = _RANK_DECIMALS, _SCORE_BYTES
 
     def matrix(vectors, dims):
         """Usable rows (right length, no nulls) as doubles, and their positions."""
@@ -55,11 +57,21 @@ def _best_finder(metric: str, keep: int):
         return np.stack([(rows != q).sum(axis=1).astype(np.float64) for q in queries])
 
     def merge(best, queries, rows, ids):
-        """Fold a block into the best lists: ``best[i]`` is (scores, ids) of query i."""
+        """Fold a block into the best lists: ``best[i]`` is (scores, ids) of query i.
+
+        Scores exist for a slice of queries and rows at a time, ``_SCORE_BYTES`` of them.
+        """
+        for low in range(0, len(rows), 8192):
+            part, names = rows[low:low + 8192], ids[low:low + 8192]
+            step = max(1, score_bytes // (8 * len(part)))
+            for first in range(0, len(queries), step):
+                fold(best, first, queries[first:first + step], part, names)
+
+    def fold(best, first, queries, rows, ids):
         import numpy as np
 
         found = np.round(scores(queries, rows), decimals)
-        for i, line in enumerate(found):
+        for i, line in enumerate(found, first):
             usable = np.flatnonzero(~np.isnan(line))
             key = line[usable] if nearer_small else -line[usable]
             if len(key) > keep:
@@ -138,17 +150,22 @@ def _search_blocks(rows: DataFrame, queries: DataFrame, n_rows: int, n_queries:
         best = start(len(names))
         if len(at) and len(names):
             ids = np.asarray(block.column("id").to_pylist(), dtype=object)[at]
-            for low in range(0, len(at), 8192):
-                merge(best, wanted, vectors[low:low + 8192], ids[low:low + 8192])
+            merge(best, wanted, vectors, ids)
         return table(names, best)
 
     return (left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb"))
             .applyInArrow(best_of_block, _HITS))
 
 
-def rank_topk(hits: DataFrame, k: int, offset: int = 0, nearest_small: bool = False) -> DataFrame:
-    """Ranks ``offset+1 .. offset+k`` of each query, ties by id."""
+def rank_topk(hits: DataFrame, k: int, offset: int = 0, nearest_small: bool = False, salts: int = 1) -> DataFrame:
+    """Ranks ``offset+1 .. offset+k`` of each query, ties by id.
+
+    With ``salts`` the hits of a query are first cut down in so many parts.
+    """
     order = F.col("score").asc() if nearest_small else F.col("score").desc()
+    if salts > 1:
+        part = Window.partitionBy("query_id", F.pmod(F.xxhash64("id"), F.lit(salts))).orderBy(order, "id")
+        hits = hits.withColumn("_part_rank", F.row_number().over(part)).filter(F.col("_part_rank") <= k + offset).drop("_part_rank")
     ranked = hits.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(order, "id")))
     ranked = ranked.filter(F.col("rank") <= k + offset)
     return ranked.filter(F.col("rank") > offset) if offset else ranked
@@ -158,20 +175,22 @@ def search(queries: DataFrame, collection: DataFrame, k: int = 10, offset: int =
            conditions: list[tuple] | None = None, broadcast_bytes: int = _BROADCAST_BYTES) -> DataFrame:
     """The exact ``k`` nearest records of every query: ``query_id, id, score, rank``.
 
-    ``queries`` has ``query_id`` and ``vector``. Vectors of another length, with
-    nulls or (cosine) of norm zero are never hits.
+    ``queries`` has ``query_id`` and ``vector``; each is compared with the records of its own
+    dimension. Vectors with nulls or (cosine) of norm zero are never hits.
     """
     rows = payload_filter(collection, conditions) if conditions else collection
-    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), "vector")
-    size = asked.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("d")).first()
-    dims = max(size["d"] or 1, 1)
-    usable = asked.filter(F.size("vector") == dims)
-    if size["n"] * dims * 8 <= broadcast_bytes:
-        rows_of_queries = [(r[0], r[1]) for r in usable.collect() if None not in r[1]]
-        hits = _search_broadcast(rows, rows_of_queries, dims, metric, k + offset)
-    else:
-        hits = _search_blocks(rows, usable, rows.count(), size["n"], dims, metric, k + offset)
-    return rank_topk(hits, k, offset, metric in SMALLER_IS_NEARER)
+    asked = queries.select(F.col("query_id").cast("string").alias("query_id"), "vector").filter(F.size("vector") > 0)
+    sizes = asked.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy("d").collect()
+    hits = rows.sparkSession.createDataFrame([], _HITS)
+    for dims, n in sizes:
+        usable = asked.filter(F.size("vector") == dims)
+        if n * dims * 8 <= broadcast_bytes:
+            rows_of_queries = [(r[0], r[1]) for r in usable.collect() if None not in r[1]]
+            found = _search_broadcast(rows, rows_of_queries, dims, metric, k + offset)
+        else:
+            found = _search_blocks(rows, usable, rows.count(), n, dims, metric, k + offset)
+        hits = found if len(sizes) == 1 else hits.unionByName(found)
+    return rank_topk(hits, k, offset, metric in SMALLER_IS_NEARER, _SALTS)
 
 
 def recall_at_k(source_hits: DataFrame, target_hits: DataFrame, k: int = 10) -> DataFrame:

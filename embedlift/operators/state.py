@@ -2,8 +2,10 @@
 
 ``events``: ``migration_id, seq, state, reason, ts``; ``checkpoints``:
 ``migration_id, seq, batch_no, last_processed_id, total_records,
-processed_count, failed_count, started_at, checkpoint_at, deleted``. The
-current row of a migration is the one with the highest ``seq``.
+processed_count, failed_count, started_at, checkpoint_at, deleted`` and what
+describes the run: its id, mapping, the target's version before it, the last
+validation, the last error. The current row of a migration is the one with the
+highest ``seq``.
 """
 
 from __future__ import annotations
@@ -12,16 +14,17 @@ import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from embedlift.functions.text import percentage, rfc3339
-from embedlift.model import MIGRATION_STATES, transition_frame
+from embedlift.model import ALLOWED_TRANSITIONS, MIGRATION_STATES, transition_frame
 from embedlift.operators.ordered import CHUNK_ROWS, moving_average, with_context
 
 EVENT_DDL = "migration_id string, seq bigint, state string, reason string, ts timestamp"
 CHECKPOINT_DDL = ("migration_id string, seq bigint, batch_no bigint, last_processed_id string, total_records bigint, "
                   "processed_count bigint, failed_count bigint, started_at timestamp, checkpoint_at timestamp, "
                   "mapping_json string, validation struct<sampled: bigint, avg: double, min: double, max: double>, "
-                  "deleted boolean")
+                  "deleted boolean, run_id string, target_version bigint, batch_records bigint, batch_failed bigint, error string")
 SORT_KEYS = ("created_at", "status", "migration_id")
 TERMINAL = ("completed", "failed", "rolled_back")
 
@@ -152,13 +155,12 @@ def migration_stats(checkpoints: DataFrame) -> DataFrame:
         F.min("started_at").alias("start_time"), F.max("checkpoint_at").alias("end_time"))
 
 
-def transition_violations(events: DataFrame, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def transition_violations(events: DataFrame) -> DataFrame:
     """State changes that the order of states does not allow: ``migration_id, seq, prev_state, state``.
 
     The first event of a migration follows on ``not_started``; repeating a state is no change.
     """
-    rows = with_context(events.select("migration_id", "seq", "state"), "migration_id", "seq", previous=("state",),
-                        chunk_rows=chunk_rows)
+    rows = with_context(events.select("migration_id", "seq", "state"), "migration_id", "seq", previous=("state",))
     moves = (rows.withColumn("prev_state", F.coalesce("prev_state", F.lit("not_started")))
              .filter(F.col("prev_state") != F.col("state")))
     return moves.join(transition_frame(events.sparkSession), ["prev_state", "state"], "left_anti").select(
@@ -169,7 +171,7 @@ def throughput_eta(checkpoints: DataFrame, width: int = 5, chunk_rows: int = CHU
     """Records per second between checkpoints, its moving average, and seconds to go by that average."""
     rows = with_context(
         checkpoints.select("migration_id", "seq", "total_records", "processed_count", "checkpoint_at"),
-        "migration_id", "seq", previous=("processed_count", "checkpoint_at"), position="step", chunk_rows=chunk_rows)
+        "migration_id", "seq", previous=("processed_count", "checkpoint_at"), position="step")
     seconds = (F.unix_micros(F.col("checkpoint_at").cast("timestamp"))
                - F.unix_micros(F.col("prev_checkpoint_at").cast("timestamp"))) / 1000000
     done = F.col("processed_count") - F.col("prev_processed_count")
@@ -211,6 +213,13 @@ class StateStore:
                                          "migration_id string, seq bigint, state string, reason string")
         self._append(row.withColumn("ts", F.current_timestamp()), "events")
 
+    def move(self, migration_id: str, state: str, reason: str | None = None) -> None:
+        """Change the state, if the order of states allows it."""
+        before = self.state(migration_id)
+        if before != state and (before, state) not in ALLOWED_TRANSITIONS:
+            raise ValueError(f"a migration that is {before} cannot become {state}")
+        self.set_state(migration_id, state, reason)
+
     def checkpoint(self, migration_id: str):
         """Newest checkpoint row of one migration, None when there is none."""
         return latest_checkpoints(self.checkpoints().filter(F.col("migration_id") == migration_id)).first()
@@ -221,7 +230,7 @@ class StateStore:
         A caller that knows the state saves looking it up.
         """
         given = {"migration_id": migration_id, "seq": time.time_ns(), "deleted": False, **values}
-        names = [part.split()[0] for part in CHECKPOINT_DDL.split(", ") if not part.endswith(("double", "double>"))]
+        names = T.StructType.fromDDL(CHECKPOINT_DDL).names
         unknown = set(given) - set(names)
         if unknown:
             raise ValueError(f"unknown checkpoint fields: {sorted(unknown)}")

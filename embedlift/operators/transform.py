@@ -5,6 +5,7 @@ All of them are projections: one pass, no shuffle, no Python.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field as dataclass_field
 from functools import lru_cache
 
@@ -43,15 +44,13 @@ class Mapping:
         return Mapping(source_type, target_type, tuple(FieldRule(f, f, convert) for f in fields))
 
     @staticmethod
-    def from_frame(mapping: DataFrame, source_type: str, target_type: str, max_rules: int = 10_000) -> Mapping:
-        """Rules of one collection from a mapping table; its size is checked first."""
+    def from_frame(mapping: DataFrame, source_type: str, target_type: str) -> Mapping:
+        """Rules of one collection from a mapping table: one rule per field, so as many rows as the collection has fields."""
         columns = mapping.columns
         wanted = mapping.filter(F.col("target_field").isNotNull()).select(
             "source_field", "target_field",
             *[F.col(c) if c in columns else F.lit(None).cast("string").alias(c) for c in ("converter", "default_json")])
-        rows = wanted.limit(max_rules + 1).collect()
-        if len(rows) > max_rules:
-            raise ValueError(f"more than {max_rules} mapping rules for one collection")
+        rows = wanted.collect()
         return Mapping(source_type, target_type, tuple(FieldRule(*row) for row in rows))
 
 
@@ -151,18 +150,6 @@ def rejected_records(df: DataFrame, mapping: Mapping) -> DataFrame:
         "message", F.concat(F.lit("failed to convert field "), F.col("field")))
 
 
-def convert_fields(df: DataFrame, converters: dict[str, str]) -> DataFrame:
-    """Apply named converters to top-level fields; failures become JSON null-free gaps."""
-    def convert(key: Column, value: Column) -> Column:
-        out = value
-        for name, conv in converters.items():
-            out = F.when(key == name, converter(conv)(value)).otherwise(out)
-        return out
-
-    changed = F.transform_values(V.as_map(F.col("metadata")), convert)
-    return df.withColumn("metadata", V.to_object(F.map_filter(changed, lambda _, v: v.isNotNull())))
-
-
 def default_values(df: DataFrame, defaults: dict[str, str]) -> DataFrame:
     """Add absent fields; a field that is present with JSON null stays null."""
     if not defaults:
@@ -249,18 +236,33 @@ def dense_vectors_to_sparse(df: DataFrame) -> DataFrame:
     return df.withColumn("sparse", dense_to_sparse(F.col("vector")))
 
 
-def shaped_fields(fields: Column, source: str, target: str, depth: int = 4) -> Column:
+Shaper = Callable[[Column, int], Column]
+_SHAPERS: dict[tuple[str, str], Shaper] = {("pinecone", "qdrant"): lambda fields, _: V.flatten_map(fields, ".", 1)}
+
+
+def register_shaper(source: str, target: str, shaper: Shaper) -> None:
+    """How nested fields are laid out on one path: a function of the field map and its depth."""
+    _SHAPERS[source, target] = shaper
+    _mapped_column.cache_clear()
+
+
+def shaper(source: str, target: str) -> Shaper:
+    """The registered layout of a path, else flat names where the target holds no objects."""
+    def default(fields: Column, depth: int) -> Column:
+        return fields if profile(target).nested else V.flatten_map(fields, "_", depth)
+
+    return _SHAPERS.get((source, target), default)
+
+
+def shaped_fields(fields: Column, source: str, target: str, depth: int) -> Column:
     """Field rules that follow from what source and target can hold.
 
-    Nested objects and arrays take the form the target allows; numbers of a
-    store that keeps everything as float are narrowed where the target knows
-    integers.
+    Nested objects (``depth`` levels of them) and arrays take the form the target
+    allows; numbers of a store that keeps everything as float are narrowed where
+    the target knows integers.
     """
     src, dst = profile(source), profile(target)
-    if source == "pinecone" and target == "qdrant":
-        fields = V.flatten_map(fields, ".", 1)
-    elif not dst.nested:
-        fields = V.flatten_map(fields, "_", depth)
+    fields = shaper(source, target)(fields, depth)
     if src.integers_as_double and not dst.integers_as_double:
         fields = F.transform_values(fields, lambda _, v: V.narrow_number(v))
     return coerced_fields(fields, target)
@@ -273,8 +275,20 @@ def _shape_rest(df: DataFrame, source: str, target: str) -> DataFrame:
     return _place_namespace(df, profile(source), profile(target))
 
 
-def shape_for(df: DataFrame, source: str, target: str, depth: int = 4) -> DataFrame:
+def _levels(df: DataFrame, source: str, target: str, depth: int | None) -> int:
+    """Levels to lift for a target without objects: all there are, counted first, unless given."""
+    if depth is not None:
+        return depth
+    if profile(target).nested or (source, target) in _SHAPERS and df.isStreaming:
+        return 1
+    if df.isStreaming:
+        raise ValueError("a stream cannot be measured; give the depth of its metadata, or map each micro-batch")
+    return max(1, V.nesting(df))
+
+
+def shape_for(df: DataFrame, source: str, target: str, depth: int | None = None) -> DataFrame:
     """Records of one store type in the form another one wants, all fields kept."""
+    depth = _levels(df, source, target, depth)
     return _shape_rest(_rewrite(df, lambda m: shaped_fields(m, source, target, depth)), source, target)
 
 
@@ -284,7 +298,9 @@ def _place_namespace(df: DataFrame, src: Profile, dst: Profile) -> DataFrame:
     return map_namespace(df, "payload" if dst.namespace == "payload" else "partition")
 
 
-def migrate_records(df: DataFrame, mapping: Mapping, on_error: str = "fail", depth: int = 4) -> DataFrame:
+def migrate_records(df: DataFrame, mapping: Mapping, on_error: str = "fail", depth: int | None = None) -> DataFrame:
     """Source records as the target wants them: mapping first, then the rules of the pair."""
+    check_mapping(mapping)
+    depth = _levels(df, mapping.source_type, mapping.target_type, depth)
     mapped = map_records(df, mapping, on_error, depth)
     return _shape_rest(mapped, mapping.source_type, mapping.target_type)

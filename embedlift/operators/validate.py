@@ -8,19 +8,35 @@ from pyspark.sql import functions as F
 from embedlift.functions import variants as V
 from embedlift.functions.vectors import vector_distance, vector_distance_arrow
 from embedlift.model import SIMILARITY_THRESHOLD
+from embedlift.sinks.merge import dedupe_last_write, has_unique_ids
+from embedlift.workspace import write_once
 
-_BUCKETS = 1_000_000
-_MAX_SAMPLE = 1_000_000
+_POINTS = 1 << 60
 
 
 def sample_point(record_id: Column) -> Column:
-    """A number in [0, 1000000) that depends on the id alone."""
-    return F.pmod(F.conv(F.substring(F.md5(record_id), 1, 8), 16, 10).cast("bigint"), F.lit(_BUCKETS))
+    """A number in [0, 2^60) that depends on the id alone."""
+    return F.conv(F.substring(F.md5(record_id), 1, 15), 16, 10).cast("bigint")
 
 
 def sampled(df: DataFrame, rate: float) -> DataFrame:
     """The same share of ids on every run and on both sides of a comparison."""
-    return df if rate >= 1 else df.filter(sample_point(F.col("id")) < int(rate * _BUCKETS))
+    return df if rate >= 1 else df.filter(sample_point(F.col("id")) < int(rate * _POINTS))
+
+
+def _chosen(source: DataFrame, sample_size: int) -> DataFrame:
+    """``sample_size`` ids, the smallest by :func:`sample_point`.
+
+    A share of the ids that most likely holds enough is taken first, so a task hands on few;
+    where it does not hold enough, all are looked at.
+    """
+    ids = source.select("id").distinct()
+    total = ids.count()
+    share = ids
+    if total > 4 * sample_size:
+        share = sampled(ids, 2 * sample_size / total)
+        share = share if share.limit(sample_size).count() == sample_size else ids
+    return share.orderBy(sample_point(F.col("id")), "id").limit(sample_size)
 
 
 def pair_records(source: DataFrame, target: DataFrame, sample_rate: float | None = None,
@@ -28,21 +44,27 @@ def pair_records(source: DataFrame, target: DataFrame, sample_rate: float | None
     """Source records with the target record of the same id.
 
     Sampling is by id, so it is applied to both sides before they are shuffled.
-    ``found`` is false for records the target lacks.
+    ``found`` is false for records the target lacks; an id that a side holds more
+    than once is paired once (``reconcile`` compares the copies), and records
+    without an id are not paired: no target record can be theirs.
     """
+    source, target = source.filter(F.col("id").isNotNull()), target.filter(F.col("id").isNotNull())
     if sample_rate is not None:
         source, target = sampled(source, sample_rate), sampled(target, sample_rate)
     if sample_size is not None:
-        if sample_size > _MAX_SAMPLE:
-            raise ValueError(f"sample_size is at most {_MAX_SAMPLE}; use sample_rate beyond that")
-        ids = F.broadcast(source.select("id").orderBy(sample_point(F.col("id")), "id").limit(sample_size))
+        ids = write_once(_chosen(source, sample_size), "sampled-ids")
         source, target = source.join(ids, "id", "left_semi"), target.join(ids, "id", "left_semi")
-    left = source.select("id", F.col("vector").alias("source_vector"), F.col("metadata").alias("source_metadata"))
-    right = target.select("id", F.col("vector").alias("target_vector"), F.col("metadata").alias("target_metadata"),
-                          F.lit(True).alias("_found"))
+    left = _one_per_id(source.select("id", F.col("vector").alias("source_vector"), F.col("metadata").alias("source_metadata")))
+    right = _one_per_id(target.select("id", F.col("vector").alias("target_vector"), F.col("metadata").alias("target_metadata")))
+    right = right.withColumn("_found", F.lit(True))
     return left.join(right, "id", "left").withColumn("found", F.coalesce("_found", F.lit(False))).drop("_found")
 
 
+def _one_per_id(df: DataFrame) -> DataFrame:
+    """Of repeated ids the record with the largest content; a table of unique ids is left as it is."""
+    return df if has_unique_ids(df) else dedupe_last_write(df.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 def with_similarity(pairs: DataFrame, engine: str = "arrow") -> DataFrame:
     measure = vector_distance_arrow if engine == "arrow" else vector_distance
     return pairs.withColumn("similarity", measure(F.col("source_vector"), F.col("target_vector"), "cosine"))
@@ -62,7 +84,10 @@ def validation_summary(pairs: DataFrame, threshold: float = SIMILARITY_THRESHOLD
 
 def validation_errors(pairs: DataFrame, threshold: float = SIMILARITY_THRESHOLD,
                       fields: list[str] | None = None) -> DataFrame:
-    """One row per discrepancy: ``record_id, field, message``."""
+    """One row per discrepancy: ``record_id, field, message``.
+
+    Without ``fields`` all top-level metadata fields of the source record are compared.
+    """
     source, target = F.col("source_vector"), F.col("target_vector")
     unequal = F.size(source) != F.size(target)
     vector_message = (F.when(~F.col("found"), "Record missing in target")
@@ -72,13 +97,21 @@ def validation_errors(pairs: DataFrame, threshold: float = SIMILARITY_THRESHOLD,
                       .when(F.col("similarity") < threshold, "Cosine similarity below threshold"))
     vector_field = F.when(F.col("found"), "vector").otherwise("id")
     found = [F.when(vector_message.isNotNull(), F.struct(vector_field.alias("field"), vector_message.alias("message")))]
+    everything = F.array().cast("array<struct<field:string,message:string>>")
+    if fields is None:
+        mine, theirs = V.as_map(F.col("source_metadata")), V.as_map(F.col("target_metadata"))
+        differing = F.filter(F.transform(F.map_keys(mine), lambda k: F.struct(k.alias("field"), F.when(
+            ~F.map_contains_key(theirs, k), "Metadata field missing in target").when(
+            ~F.to_json(F.try_element_at(mine, k)).eqNullSafe(F.to_json(F.try_element_at(theirs, k))), "Metadata value differs").alias("message"))),
+            lambda e: e["message"].isNotNull())
+        everything = F.when(F.col("found"), differing).otherwise(everything)
     for name in fields or []:
         a, b = V.field(F.col("source_metadata"), name), V.field(F.col("target_metadata"), name)
         message = (F.when(a.isNotNull() & b.isNull(), "Metadata field missing in target")
                    .when(a.isNotNull() & (F.to_json(a) != F.to_json(b)), "Metadata value differs"))
         found.append(F.when(F.col("found") & message.isNotNull(),
                             F.struct(F.lit(name).alias("field"), message.alias("message"))))
-    rows = V.rows_of(pairs, F.array_compact(F.array(*found)), "e", [F.col("id").alias("record_id")])
+    rows = V.rows_of(pairs, F.concat(F.array_compact(F.array(*found)), everything), "e", [F.col("id").alias("record_id")])
     return rows.select("record_id", "e.field", "e.message")
 
 
@@ -103,18 +136,19 @@ def reconcile(source: DataFrame, target: DataFrame, content: Column | None = Non
     Instead of a full outer join the two sides are stacked as ``(id, side,
     hash)`` and grouped: one narrow shuffle, combined before it, so records
     themselves do not move and an id with many copies is no hot spot. Sides
-    that hold an id more than once are equal when they hold the same contents.
+    that hold an id more than once match when they hold the same contents
+    equally often: counts and two independent sums of hashes agree.
     """
     digest = content if content is not None else content_hash()
     stacked = (source.select("id", F.lit(True).alias("_src"), digest.alias("_hash"))
                .unionByName(target.select("id", F.lit(False).alias("_src"), digest.alias("_hash"))))
-    src = lambda value: F.when(F.col("_src"), value)
-    dst = lambda value: F.when(~F.col("_src"), value)
+    signed = F.when(F.col("_src"), 1).otherwise(-1)
+    total = lambda value: F.sum((value * signed).cast("decimal(38,0)"))
+    again = F.xxhash64("_hash", F.lit("second"))
     sides = stacked.groupBy("id").agg(
         F.count_if(F.col("_src")).alias("source_copies"), F.count_if(~F.col("_src")).alias("target_copies"),
-        F.min(src(F.col("_hash"))).alias("s_min"), F.max(src(F.col("_hash"))).alias("s_max"),
-        F.min(dst(F.col("_hash"))).alias("t_min"), F.max(dst(F.col("_hash"))).alias("t_max"))
-    same = F.col("s_min").eqNullSafe(F.col("t_min")) & F.col("s_max").eqNullSafe(F.col("t_max"))
+        total(F.coalesce(F.col("_hash"), F.lit(0)).cast("decimal(20,0)")).alias("rest"), total(again.cast("decimal(20,0)")).alias("rest2"))
+    same = (F.col("source_copies") == F.col("target_copies")) & (F.col("rest") == 0) & (F.col("rest2") == 0)
     status = (F.when(F.col("target_copies") == 0, "missing_in_target")
               .when(F.col("source_copies") == 0, "extra_in_target")
               .when(same, "matched").otherwise("changed"))

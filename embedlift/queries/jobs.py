@@ -12,7 +12,6 @@ from embedlift.plans.job import MigrationConfig, dry_run, request, resume_migrat
 from embedlift.queries import query
 from embedlift.queries.tables import SRC_SQL, document_records, event_records, source_records
 from embedlift.sinks.collection import Collection
-from embedlift.sources.batches import assign_batches
 from embedlift.workspace import scratch_path
 
 DOC_ID = "lpad(CAST(doc_id AS VARCHAR), 10, '0')"
@@ -33,9 +32,18 @@ def _mapped(df):
 _MAPPED_SQL = f"SELECT {DOC_ID} AS id, lang AS language, source AS origin, n_chars AS chars, md5(text) AS content_md5 FROM documents"
 
 
-def _stores(spark, label):
+class StopsAfterAStep(StateStore):
+    """Asks the run to stop once it has saved a step."""
+
+    def save_checkpoint(self, migration_id, known_state=None, **values):
+        super().save_checkpoint(migration_id, known_state, **values)
+        if values.get("batch_no"):
+            request(self, migration_id, "stop")
+
+
+def _stores(spark, label, states=StateStore):
     root = scratch_path(spark, label)
-    return Collection(spark, f"{root}/target"), StateStore(spark, f"{root}/state")
+    return Collection(spark, f"{root}/target"), states(spark, f"{root}/state")
 
 
 @query("flagship_migration", f"""WITH {SRC_SQL}
@@ -74,18 +82,40 @@ def run_progress(spark, sf):
 
 @query("resume_migration", _MAPPED_SQL)
 def resume_documents(spark, sf):
-    """A run that was stopped after its first half goes on from the checkpoint."""
-    target, state = _stores(spark, "resume")
-    source = document_records(spark, sf)
-    numbered = assign_batches(source, 100)
-    last = numbered.agg(F.max("batch_no")).first()[0]
-    half = numbered.filter(F.col("batch_no") <= last / 2).drop("batch_no")
+    """A run of two steps is stopped after the first and goes on from its checkpoint."""
+    target, state = _stores(spark, "resume", StopsAfterAStep)
+    config = MigrationConfig("docs", DOCUMENT_MAPPING, steps=2)
+    if run_migration(document_records(spark, sf), target, state, config) != "in_progress":
+        raise RuntimeError("the run did not stop")
+    resume_migration(document_records(spark, sf), target, StateStore(spark, state.root), config)
+    return _mapped(target.snapshot())
+
+
+@query("rerun_migration", f"SELECT {DOC_ID} AS id, upper(lang) AS language, source AS origin, n_chars AS chars, md5(text) AS content_md5 FROM documents")
+def rerun_documents(spark, sf):
+    """The source has changed since the first run; a second run of the same migration brings the changes."""
+    target, state = _stores(spark, "rerun")
     config = MigrationConfig("docs", DOCUMENT_MAPPING)
-    run_migration(half, target, state, config)
-    resume_migration(source, target, state, config)
+    run_migration(document_records(spark, sf), target, state, config)
+    changed = document_records(spark, sf).withColumn("metadata", V.to_object(F.map_concat(
+        F.map_filter(V.as_map(F.col("metadata")), lambda k, _: k != "lang"),
+        F.create_map(F.lit("lang"), F.upper(meta("lang")).cast("variant")))))
+    run_migration(changed, target, state, config)
     return _mapped(target.snapshot())
 
 
+@query("checkpoint_contents", """
+SELECT 'docs' AS migration_id, count(*) AS processed_count, 4 AS n_rules, 'pinecone' AS source_type, count(*) AS sampled, 1.0 AS min_similarity FROM documents""")
+def contents_of_checkpoint(spark, sf):
+    """The last checkpoint holds the mapping and what validation found."""
+    target, state = _stores(spark, "contents")
+    run_migration(document_records(spark, sf), target, state, MigrationConfig("docs", DOCUMENT_MAPPING, validate_every=1, sample_rate=1.0))
+    return latest_checkpoints(state.checkpoints()).select(
+        "migration_id", "processed_count", F.json_array_length(F.get_json_object("mapping_json", "$.rules")).alias("n_rules"),
+        F.get_json_object("mapping_json", "$.source_type").alias("source_type"), F.col("validation.sampled").alias("sampled"),
+        F.round("validation.min", 6).alias("min_similarity"))
+
+
 @query("migration_control", "SELECT 'stopped' AS step, 'in_progress' AS state, 0 AS n FROM (SELECT count(*) FROM documents) "
        "UNION ALL SELECT 'resumed', 'completed', count(*) FROM documents UNION ALL SELECT 'rolled back', 'rolled_back', 0 FROM (SELECT count(*) FROM documents)")
 def control_documents(spark, sf):
@@ -93,13 +123,12 @@ def control_documents(spark, sf):
     target, state = _stores(spark, "control")
     source = document_records(spark, sf)
     config = MigrationConfig("docs", DOCUMENT_MAPPING)
-    state.save_checkpoint("docs", total_records=0, processed_count=0, failed_count=0, batch_no=0)
+    state.save_checkpoint("docs", total_records=0, processed_count=0, failed_count=0, batch_no=0, target_version=0)
     request(state, "docs", "stop")
     rows = [("stopped", state.state("docs"), target.snapshot())]
     resume_migration(source, target, state, config)
     rows.append(("resumed", state.state("docs"), target.snapshot()))
-    request(state, "docs", "rollback")
-    target.rollback_to(0)
+    request(state, "docs", "rollback", target)
     rows.append(("rolled back", state.state("docs"), target.snapshot()))
     found = None
     for step, status, df in rows:

@@ -11,7 +11,7 @@ from embedlift.operators import transform as T
 from embedlift.operators.filters import check_target_constraints, payload_filter
 from embedlift.operators.transform import FieldRule, Mapping
 from embedlift.queries import query
-from embedlift.queries.tables import (SRC_SQL, document_records, event_records, id_text, source_records, table)
+from embedlift.queries.tables import (deep_records, SRC_SQL, document_records, event_records, id_text, source_records, table)
 from embedlift.sources.batches import assign_batches, get_batch, resume_filter
 from embedlift.sources.checks import check_source
 from embedlift.sources.records import records_from, records_with_rejects
@@ -303,3 +303,12 @@ def filter_documents(spark, sf):
     got = payload_filter(document_records(spark, sf), [
         ("lang", "in", ["en", "de"]), ("n_chars", "range", (500.0, 3000.0)), ("source", "contains", "src1")])
     return got.select("id", meta("lang").alias("lang"), meta("source").alias("source"))
+
+
+@query("migrate_deep_objects", f"""
+SELECT {EVENT_ID} AS id, 'a_b_c_d_e_f,a_b_type' AS field_names, user_id AS deepest, event_type AS evt_type FROM events""")
+def migrate_deep(spark, sf):
+    """A target without objects gets every level as one flat name."""
+    got = T.migrate_records(deep_records(spark, sf), T.Mapping("qdrant", "pinecone", (T.FieldRule("a", "a"),)))
+    return got.select("id", F.array_join(F.array_sort(F.map_keys(V.as_map(F.col("metadata")))), ",").alias("field_names"),
+                      meta("a_b_c_d_e_f", "bigint").alias("deepest"), meta("a_b_type").alias("evt_type"))

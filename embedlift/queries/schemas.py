@@ -8,7 +8,7 @@ from embedlift.model import PROFILES, TYPE_MATRIX, profiles_frame
 from embedlift.operators import mapping as M
 from embedlift.operators.filters import skip_fields
 from embedlift.queries import query
-from embedlift.queries.tables import document_records, event_records, table
+from embedlift.queries.tables import deep_records, document_records, event_records, table
 
 
 def _source_fields(spark, sf):
@@ -173,8 +173,18 @@ def infer_events(spark, sf):
     return M.infer_schema(event_records(spark, sf))
 
 
-@query("infer_schema_sampled", """
-WITH s AS (SELECT * FROM documents WHERE ('0x' || substr(md5(lpad(CAST(doc_id AS VARCHAR), 10, '0')), 1, 8))::BIGINT % 1000000 < 200000)
+@query("infer_schema_deep", """
+SELECT 'a' AS path, 'object' AS type, count(*) AS n_values FROM events UNION ALL SELECT 'a.b', 'object', count(*) FROM events
+UNION ALL SELECT 'a.b.c', 'object', count(*) FROM events UNION ALL SELECT 'a.b.c.d', 'object', count(*) FROM events
+UNION ALL SELECT 'a.b.c.d.e', 'object', count(*) FROM events UNION ALL SELECT 'a.b.c.d.e.f', 'int', count(*) FROM events
+UNION ALL SELECT 'a.b.type', 'string', count(*) FROM events""")
+def infer_deep(spark, sf):
+    """Fields down to the sixth level are all reported."""
+    return M.infer_schema(deep_records(spark, sf))
+
+
+@query("infer_schema_sampled", f"""
+WITH s AS (SELECT * FROM documents WHERE ('0x' || substr(md5(lpad(CAST(doc_id AS VARCHAR), 10, '0')), 1, 15))::BIGINT < {int(0.2 * (1 << 60))})
 SELECT 'lang' AS path, 'string' AS type, count(*) AS n_values FROM s UNION ALL SELECT 'source', 'string', count(*) FROM s
 UNION ALL SELECT 'n_chars', 'float', count(*) FROM s UNION ALL SELECT 'text', 'string', count(*) FROM s""")
 def infer_document_sample(spark, sf):

@@ -123,7 +123,8 @@ def stats_of_orders(spark, sf):
   FROM state_events)
 SELECT * FROM moves WHERE prev_state <> state AND (prev_state, state) NOT IN (
   ('not_started', 'in_progress'), ('in_progress', 'completed'), ('in_progress', 'failed'), ('in_progress', 'rolled_back'),
-  ('failed', 'rolled_back'), ('completed', 'rolled_back'))""")
+  ('failed', 'rolled_back'), ('completed', 'rolled_back'), ('failed', 'in_progress'), ('completed', 'not_started'),
+  ('failed', 'not_started'), ('rolled_back', 'not_started'))""")
 def violations(spark, sf):
     return S.transition_violations(state_events(spark, sf))
 

@@ -12,8 +12,8 @@ from embedlift.sinks.collection import Collection
 from embedlift.sinks.exports import write_milvus, write_pinecone, write_qdrant, write_weaviate
 from embedlift.sinks.merge import dedupe_last_write, delete_by_ids, upsert
 from embedlift.sources.batches import assign_batches
-from embedlift.sources.paged import paged_source
-from embedlift.sources.records import (read_milvus, read_pinecone, read_qdrant, read_records, read_weaviate,
+from embedlift.sources.paged import paged_records
+from embedlift.sources.records import (read_milvus, read_pinecone, read_qdrant, read_records, read_rejects, read_weaviate,
                                        records_from)
 from embedlift.workspace import scratch_path
 
@@ -178,25 +178,64 @@ def namespace_partitions(spark, sf):
     return spark.read.parquet(path).select("id", "partition_name")
 
 
-@query("paged_source", """
-SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dims, round(CAST(embedding[1] AS DOUBLE), 5) AS first, label FROM embeddings""")
-def paged_embeddings(spark, sf):
-    """The embeddings table pulled in pages; shards are its row groups, the cursor is the next row."""
-    path = f"{sf}/embeddings.parquet"
+def _broken_export(spark, sf, store, line):
+    """Events as lines of an export; every seventh is cut off, every eleventh has no id."""
+    number = F.col("event_id")
+    record_id = F.when(number % 11 == 0, "").otherwise(number.cast("string"))
+    text = F.to_json(line(record_id))
+    path = scratch_path(spark, f"{store}-rejects")
+    table(spark, sf, "events").select(F.when(number % 7 == 0, F.substring(text, F.lit(1), F.length(text) - 3)).otherwise(text).alias("value")).write.text(path)
+    return path
+
+
+_LINES = {
+    "pinecone": lambda i: F.struct(i.alias("id"), F.array("value").alias("values")),
+    "qdrant": lambda i: F.struct(i.alias("id"), F.array("value").alias("vector")),
+    "weaviate": lambda i: F.struct(i.alias("id"), F.array("value").alias("vector"), F.struct("event_type").alias("properties")),
+    "milvus": lambda i: F.struct(i.alias("id"), F.array("value").alias("embedding")),
+}
+_READERS = {"pinecone": read_pinecone, "qdrant": read_qdrant, "weaviate": read_weaviate, "milvus": read_milvus}
+
 
-    def fetch(shard, cursor, limit):
-        import json
+def _rejects_query(store: str) -> None:
+    @query(f"{store}_rejects", """
+SELECT CASE WHEN event_id % 7 = 0 THEN 'not valid JSON' WHEN event_id % 11 = 0 THEN 'record has no id' ELSE 'record' END AS outcome,
+       count(*) AS n FROM events GROUP BY 1""")
+    def run(spark, sf):
+        path = _broken_export(spark, sf, store, _LINES[store])
+        outcomes = _READERS[store](spark, path).select(F.lit("record").alias("outcome")).unionByName(
+            read_rejects(spark, path, store).select(F.col("message").alias("outcome")))
+        return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
-        import pyarrow.parquet as pq
 
-        start = cursor or 0
-        rows = pq.ParquetFile(path).read_row_group(shard).slice(start, limit).to_pylist()
-        out = [(str(r["vec_id"]), r["embedding"], json.dumps({"label": r["label"]})) for r in rows]
-        return out, (start + limit if len(rows) == limit else None)
+for _store in _LINES:
+    _rejects_query(_store)
 
-    import pyarrow.parquet as pq
 
-    shards = range(pq.ParquetFile(path).metadata.num_row_groups)
-    return paged_source(spark, fetch, shards, 100).select(
-        "id", F.size("vector").alias("dims"), F.round(F.col("vector")[0].cast("double"), 5).alias("first"),
-        meta("label", "int").alias("label"))
+@query("pinecone_sparse_requests", """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_mktsegment AS namespace, c_nationkey AS at, round(c_acctbal, 2) AS value FROM customer""")
+def sparse_requests(spark, sf):
+    """Sparse vectors in namespaces, written as request documents and read back."""
+    rows = records_from(table(spark, sf, "customer").withColumn("namespace", F.col("c_mktsegment")).withColumn("sparse", F.struct(
+        F.array(F.col("c_nationkey").cast("bigint")).alias("indices"), F.array(F.col("c_acctbal").cast("float")).alias("values"))),
+        "c_custkey", F.array("c_acctbal"), ["c_name"], keep=("namespace", "sparse"))
+    path = scratch_path(spark, "pinecone-sparse")
+    write_pinecone(assign_batches(rows, 100), path, per_request=True)
+    return read_pinecone(spark, path).select("id", "namespace", F.col("sparse.indices")[0].alias("at"),
+                                             F.round(F.col("sparse.values")[0].cast("double"), 2).alias("value"))
+
+
+@query("paged_source", """
+SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dims, round(CAST(embedding[1] AS DOUBLE), 5) AS first, label FROM embeddings""")
+def paged_embeddings(spark, sf):
+    """The embeddings as page files, each naming the next page of its shard; pages are pulled shard by shard."""
+    rows = table(spark, sf, "embeddings")
+    shard, page = F.col("vec_id") % 4, F.floor(F.col("vec_id") / 400)
+    path = scratch_path(spark, "pages")
+    (rows.select(shard.cast("int").alias("shard"), page.cast("int").alias("page"), F.struct(F.col("vec_id").cast("string").alias("id"), F.col("embedding").alias("vector"), "label").alias("r"))
+     .groupBy("shard", "page").agg(F.to_json(F.sort_array(F.collect_list("r"))).alias("rows")).write.parquet(path))
+    pages = spark.read.parquet(path)
+    last = pages.groupBy("shard").agg(F.max("page").alias("last"))
+    tokens = pages.join(last, "shard").select("shard", "page", F.when(F.col("page") < F.col("last"), F.col("page") + 1).alias("next"), "rows")
+    return paged_records(tokens).select(
+        "id", F.size("vector").alias("dims"), F.round(F.col("vector")[0].cast("double"), 5).alias("first"), meta("label", "int").alias("label"))

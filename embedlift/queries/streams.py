@@ -60,6 +60,18 @@ def migrate_events(spark, sf):
     return _mapped(target.snapshot())
 
 
+@query("two_streams_one_target", _EVENT_SQL)
+def two_streams(spark, sf):
+    """Two folders of records, each read by a stream of the same name with a checkpoint of its own, into one target."""
+    root = scratch_path(spark, "two")
+    target = Collection(spark, f"{root}/target")
+    rows = event_records(spark, sf)
+    for part in range(2):
+        rows.filter(F.col("id").cast("bigint") % 2 == part).write.parquet(f"{root}/in{part}")
+        migrate_stream(stream_records(spark, f"{root}/in{part}", files_per_batch=64), target, MAPPING, f"{root}/ck{part}").awaitTermination()
+    return _mapped(target.snapshot())
+
+
 @query("dual_write", f"SELECT s.*, CAST(props->>'k' AS INTEGER) AS k FROM ({_EVENT_SQL}) s JOIN events ON CAST(s.id AS BIGINT) = event_id")
 def write_both(spark, sf):
     root = _record_files(spark, sf, "dual")
@@ -130,16 +142,20 @@ def limited_stream(spark, sf):
 
 
 @query("audit_windows_stream", """
-WITH w AS (SELECT time_bucket(INTERVAL 1 day, ts) AS window_start, count(*) AS requests,
-                  count(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1)
-SELECT window_start, requests, errors FROM w
-WHERE window_start + INTERVAL 1 day <= (SELECT max(ts) - INTERVAL 1 hour FROM events)""")
+SELECT time_bucket(INTERVAL 1 day, ts) AS window_start, count(*) AS requests, count(*) FILTER (WHERE event_type = 'error') AS errors
+FROM events GROUP BY 1""")
 def window_stream(spark, sf):
-    """Windows that the watermark has closed."""
+    """All windows: each micro-batch writes those that changed, the newest row of a window counts."""
     root = scratch_path(spark, "windows")
     schema = table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     log = stream.select("ts", F.col("value").alias("duration_ms"), F.when(F.col("event_type") == "error", 500).otherwise(200).alias("status_code"))
-    (audit_windows(log, "1 day", late="1 hour").writeStream.format("parquet").option("path", f"{root}/out")
-     .option("checkpointLocation", f"{root}/ck").outputMode("append").trigger(availableNow=True).start().awaitTermination())
-    return spark.read.parquet(f"{root}/out").select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "requests", "errors")
+
+    def keep(batch, number):
+        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(f"{root}/out")
+
+    (audit_windows(log, "1 day", late="1 hour").writeStream.foreachBatch(keep).option("checkpointLocation", f"{root}/ck")
+     .outputMode("update").trigger(availableNow=True).start().awaitTermination())
+    newest = spark.read.parquet(f"{root}/out").groupBy("window_start").agg(
+        F.max_by("requests", "batch").alias("requests"), F.max_by("errors", "batch").alias("errors"))
+    return newest.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -182,3 +182,10 @@ def audit_log(spark: SparkSession, sf: str) -> DataFrame:
 AUDIT_SQL = """audit AS (
   SELECT event_id, ts, 'key-' || user_id || '-' || event_type AS api_key, event_type AS tool, value AS duration_ms,
          CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status_code, user_id, props FROM events)"""
+
+
+def deep_records(spark, sf):
+    """Events with objects nested in six levels."""
+    inner = F.struct(F.struct(F.struct(F.col("user_id").alias("f")).alias("e")).alias("d")).alias("c")
+    return table(spark, sf, "events").select(id_text("event_id").alias("id"), F.array(F.col("value").cast("float")).alias("vector"), F.to_variant_object(
+        F.struct(F.struct(F.struct(inner, F.col("event_type").alias("type")).alias("b")).alias("a"))).alias("metadata"))

@@ -52,7 +52,7 @@ def summary_of_all(spark, sf):
 
 
 @query("validate_migration_sampled", f"""{PAIRS_SQL.replace('sims AS', 'all_sims AS')},
-sims AS (SELECT * FROM all_sims WHERE ('0x' || substr(md5(id), 1, 8))::BIGINT % 1000000 < 100000)
+sims AS (SELECT * FROM all_sims WHERE ('0x' || substr(md5(id), 1, 15))::BIGINT < {int(0.1 * (1 << 60))})
 {SUMMARY_SQL}""")
 def summary_of_sample(spark, sf):
     summary, _ = D.validate_migration(source_records(spark, sf), target_records(spark, sf), sample_rate=0.1)
@@ -60,7 +60,7 @@ def summary_of_sample(spark, sf):
 
 
 @query("validate_migration_sample_size", f"""{PAIRS_SQL.replace('sims AS', 'all_sims AS')},
-sims AS (SELECT * FROM all_sims ORDER BY ('0x' || substr(md5(id), 1, 8))::BIGINT % 1000000, id LIMIT 100)
+sims AS (SELECT * FROM all_sims ORDER BY ('0x' || substr(md5(id), 1, 15))::BIGINT, id LIMIT 100)
 {SUMMARY_SQL}""")
 def summary_of_fixed_sample(spark, sf):
     summary, _ = D.validate_migration(source_records(spark, sf), target_records(spark, sf), sample_rate=None, sample_size=100)
@@ -77,6 +77,31 @@ def errors_of_all(spark, sf):
                                 fields=["lang", "source"])[1]
 
 
+@query("validate_all_fields", f"""{PAIRS_SQL}
+SELECT id AS record_id, CASE WHEN found THEN 'vector' ELSE 'id' END AS field,
+       CASE WHEN NOT found THEN 'Record missing in target' ELSE 'Cosine similarity below threshold' END AS message
+FROM sims WHERE NOT found OR sim < 0.98
+UNION ALL SELECT s.id, f.field, 'Metadata value differs' FROM src s JOIN tgt t ON s.id = t.id, LATERAL (VALUES
+  ('lang', s.lang IS DISTINCT FROM t.lang), ('source', s.source IS DISTINCT FROM t.source), ('label', s.label IS DISTINCT FROM t.label),
+  ('text', s.text IS DISTINCT FROM t.text), ('n_chars', s.n_chars IS DISTINCT FROM t.n_chars)) AS f(field, differs) WHERE f.differs""")
+def errors_of_all_fields(spark, sf):
+    """Without a list of fields every metadata field is compared."""
+    return D.validate_migration(source_records(spark, sf), target_records(spark, sf), sample_rate=None)[1]
+
+
+@query("reconcile_copies", """
+WITH o AS (SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_linenumber = 1) AS ones FROM lineitem GROUP BY 1)
+SELECT CAST(l_orderkey AS VARCHAR) AS id, CASE WHEN ones > 0 AND l_orderkey % 10 = 0 AND n = ones THEN 'missing_in_target'
+  WHEN ones > 0 AND l_orderkey % 10 IN (0, 1) THEN 'changed' ELSE 'matched' END AS status FROM o""")
+def reconcile_copies(spark, sf):
+    """Line items by order: an order has many; some lose their first lines in the target, some have them twice."""
+    rows = table(spark, sf, "lineitem").withColumn("id", F.col("l_orderkey").cast("string"))
+    first, last = F.col("l_linenumber") == 1, F.col("l_orderkey") % 10
+    target = rows.filter(~(first & (last == 0))).unionByName(rows.filter(first & (last == 1)))
+    content = F.xxhash64("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    return D.reconcile(rows, target, content).select("id", "status")
+
+
 RECONCILE_SQL = f"""{SIDES},
 both_sides AS (
   SELECT coalesce(s.id, t.id) AS id,
@@ -213,6 +238,15 @@ def search_with_filter(spark, sf):
         "query_id", "id", "rank", F.round("score", 6).alias("score"))
 
 
+@query("search_mixed_dimensions", f"""WITH {SRC_SQL}, {CENTROID_SQL}, {_hits_sql('hits', 'src')}
+SELECT query_id, id, rank, round(score, 6) AS score FROM hits""")
+def search_mixed(spark, sf):
+    """A longer query that no record can match takes nothing away from the others."""
+    asked = centroids(spark, sf).select(F.col("query_id").cast("string").alias("query_id"), "vector")
+    longer = asked.limit(1).select(F.lit("longer").alias("query_id"), F.concat("vector", "vector").alias("vector"))
+    return search(asked.unionByName(longer), source_records(spark, sf), 10).select("query_id", "id", "rank", F.round("score", 6).alias("score"))
+
+
 @query("recall_at_10", f"""{SIDES}, {CENTROID_SQL}, {_hits_sql('s_hits', 'src')}, {_hits_sql('t_hits', 'tgt')}
 SELECT s.query_id, count(t.id) AS common, round(count(t.id) / least(count(*), 10), 4) AS recall
 FROM s_hits s LEFT JOIN t_hits t ON s.query_id = t.query_id AND s.id = t.id GROUP BY s.query_id""")

@@ -2,35 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from embedlift.functions import variants as V
-from embedlift.model import PROFILES
-
 
-def _has(df: DataFrame, name: str) -> bool:
-    return name in df.columns
 
+def pinecone_fields(df: DataFrame, class_name: str) -> list[Column]:
+    fields = [F.col("id"), F.col("vector").alias("values"), F.col("metadata")]
+    return fields + ([F.col("sparse").alias("sparse_values")] if "sparse" in df.columns else [])
 
-def shape_pinecone(df: DataFrame) -> DataFrame:
-    columns = [F.col("id"), F.col("vector").alias("values"), F.col("metadata")]
-    if _has(df, "sparse"):
-        columns.append(F.col("sparse").alias("sparse_values"))
-    if _has(df, "namespace"):
-        columns.append(F.col("namespace"))
-    return df.select(*columns)
 
+def qdrant_fields(df: DataFrame, class_name: str) -> list[Column]:
+    return [F.col("id"), F.col("vector"), F.col("metadata").alias("payload")]
 
-def shape_qdrant(df: DataFrame) -> DataFrame:
-    return df.select("id", "vector", F.col("metadata").alias("payload"))
 
+def weaviate_fields(df: DataFrame, class_name: str) -> list[Column]:
+    return [F.lit(class_name).alias("class"), F.col("id"), F.col("vector"), F.col("metadata").alias("properties")]
 
-def shape_weaviate(df: DataFrame, class_name: str) -> DataFrame:
-    return df.select(F.lit(class_name).alias("class"), "id", "vector", F.col("metadata").alias("properties"))
 
-
-def shape_milvus(df: DataFrame, json_field: str = "metadata_json") -> DataFrame:
+def milvus_fields(df: DataFrame, class_name: str, json_field: str = "metadata_json") -> list[Column]:
     """Scalars as fields of the entity, nested objects below the JSON field, arrays as JSON text."""
     fields = V.arrays_to_json(V.as_map(F.col("metadata")))
     scalars = F.map_filter(fields, lambda k, v: ~V.is_object(v) & ~k.isin("id", "embedding", json_field))
@@ -38,7 +31,28 @@ def shape_milvus(df: DataFrame, json_field: str = "metadata_json") -> DataFrame:
     base = F.create_map(F.lit("id"), F.col("id").cast("variant"),
                         F.lit("embedding"), F.to_variant_object("vector"),
                         F.lit(json_field), V.to_object(nested))
-    return df.select(V.to_object(F.map_concat(base, scalars)).alias("entity"))
+    return [V.to_object(F.map_concat(base, scalars)).alias(ENTITY)]
+
+
+ENTITY = "entity"
+Fields = Callable[[DataFrame, str], list[Column]]
+_WRITERS: dict[str, tuple[Fields, str, tuple[str, ...]]] = {}
+
+
+def register_writer(store_type: str, fields: Fields, member: str, keeps: tuple[str, ...] = ()) -> None:
+    """Teach exports a store type.
+
+    ``fields(records, class name)`` gives the fields of a record as columns, or one variant column
+    named ``entity``; ``member`` names the list in a request document; ``keeps`` the columns beside
+    a record's own three that the store can hold.
+    """
+    _WRITERS[store_type] = (fields, member, keeps)
+
+
+register_writer("pinecone", pinecone_fields, "vectors", ("sparse", "namespace"))
+register_writer("qdrant", qdrant_fields, "points")
+register_writer("weaviate", weaviate_fields, "objects")
+register_writer("milvus", milvus_fields, "data")
 
 
 def write_export(df: DataFrame, store_type: str, path: str, class_name: str = "Record", mode: str = "errorifexists",
@@ -46,38 +60,33 @@ def write_export(df: DataFrame, store_type: str, path: str, class_name: str = "R
     """Write one record per line, or one request document per batch.
 
     ``per_request`` needs a ``batch_no`` column (see ``assign_batches``), which
-    bounds the number of records gathered into one document.
+    bounds the number of records gathered into one document. A sparse vector or
+    namespace that the store type cannot hold is refused: map it first.
     """
-    if store_type not in PROFILES:
+    if store_type not in _WRITERS:
         raise ValueError(f"unknown database type: {store_type!r}")
+    fields_of, member, keeps = _WRITERS[store_type]
+    lost = [c for c in ("sparse", "namespace") if c in df.columns and c not in keeps]
+    if lost:
+        raise ValueError(f"an export to {store_type} holds no {' and no '.join(lost)}")
+    fields = fields_of(df, class_name)
+    space = [F.col("namespace")] if "namespace" in df.columns else []
+    text = F.to_json(F.struct(*fields)) if len(fields) > 1 else F.to_json(fields[0])
     if per_request:
-        _requests(df, store_type, class_name).write.mode(mode).text(path)
-    elif store_type == "milvus":
-        shape_milvus(df).select(F.to_json("entity").alias("value")).write.mode(mode).text(path)
+        _requests(df.select("batch_no", "id", *(space or [F.lit(None).cast("string").alias("namespace")]), text.alias("body")), member).write.mode(mode).text(path)
+    elif len(fields) > 1:
+        df.select(*fields, *space).write.mode(mode).json(path)
     else:
-        _shape(df, store_type, class_name).write.mode(mode).json(path)
-
-
-def _shape(df: DataFrame, store_type: str, class_name: str) -> DataFrame:
-    if store_type == "pinecone":
-        return shape_pinecone(df)
-    if store_type == "qdrant":
-        return shape_qdrant(df)
-    return shape_weaviate(df, class_name)
-
-
-def _requests(df: DataFrame, store_type: str, class_name: str) -> DataFrame:
-    body: dict[str, Column] = {
-        "pinecone": F.struct("id", F.col("vector").alias("values"), "metadata"),
-        "qdrant": F.struct("id", "vector", F.col("metadata").alias("payload")),
-        "weaviate": F.struct(F.lit(class_name).alias("class"), "id", "vector", F.col("metadata").alias("properties")),
-        "milvus": F.struct("id", F.col("vector").alias("embedding"), "metadata"),
-    }
-    member = {"pinecone": "vectors", "qdrant": "points", "weaviate": "objects", "milvus": "data"}[store_type]
-    gathered = df.groupBy("batch_no").agg(
-        F.sort_array(F.collect_list(F.struct("id", F.to_json(body[store_type]).alias("body")))).alias("rows"))
+        df.select(text.alias("value")).write.mode(mode).text(path)
+
+
+def _requests(rows: DataFrame, member: str) -> DataFrame:
+    """One document per batch, and per namespace where records have one: it stands beside the records."""
+    gathered = rows.groupBy("batch_no", "namespace").agg(F.sort_array(F.collect_list(F.struct("id", "body"))).alias("rows"))
     joined = F.array_join(F.transform("rows", lambda r: r["body"]), ",")
-    return gathered.select(F.concat(F.lit('{"%s":[' % member), joined, F.lit("]}")).alias("value"))
+    beside = F.coalesce(F.concat(F.lit(',"namespace":'), F.regexp_extract(F.to_json(F.struct("namespace")), '^\\{"namespace":(.*)\\}$', 1)), F.lit(""))
+    beside = F.when(F.col("namespace").isNull(), "").otherwise(beside)
+    return gathered.select(F.concat(F.lit('{"%s":[' % member), joined, F.lit("]"), beside, F.lit("}")).alias("value"))
 
 
 def write_pinecone(df: DataFrame, path: str, **options) -> None:

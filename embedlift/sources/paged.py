@@ -3,7 +3,9 @@
 ``fetch(shard, cursor, limit)`` returns ``(rows, next_cursor)`` where each row
 is ``(id, vector, metadata_json)`` and a ``None`` cursor ends the shard. Each
 shard (a namespace, a key range) is one Spark partition; pages of a shard are
-followed by the cursor the fetch returned.
+followed by the cursor the fetch returned. Metadata that is no JSON fails the read.
+
+Pages that were stored as they came are read by :func:`paged_records`.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from embedlift.functions import variants as V
+
 _SCHEMA = "id string, vector array<float>, metadata string"
 
 
@@ -47,4 +51,21 @@ def paged_source(spark: SparkSession, fetch: Callable, shards: Sequence, page_si
             return Pages()
 
     spark.dataSource.register(PagedRecords)
-    return spark.read.format(label).load().withColumn("metadata", F.try_parse_json("metadata"))
+    return spark.read.format(label).load().withColumn("metadata", F.parse_json("metadata"))
+
+
+def paged_records(pages: DataFrame) -> DataFrame:
+    """Records of stored pages: ``shard, page, next, rows``.
+
+    ``rows`` is a JSON list of objects with ``id``, ``vector`` and further members, which become the
+    metadata; ``next`` is the token of the page that follows in the shard. A page that another one
+    names and that is not there fails the read, so a copy that stopped half way is noticed.
+    """
+    there = pages.select("shard", F.col("page").alias("next"), F.lit(True).alias("_there"))
+    whole = pages.join(there, ["shard", "next"], "left").withColumn("rows", F.when(
+        F.col("next").isNotNull() & F.col("_there").isNull(),
+        F.raise_error(F.concat(F.lit("page is missing: "), F.col("shard").cast("string"), F.lit("/"), F.col("next").cast("string"))).cast("string")).otherwise(F.col("rows")))
+    items = whole.select(F.explode(F.try_variant_get(F.parse_json("rows"), "$", "array<variant>")).alias("item"))
+    rest = F.map_filter(V.as_map(F.col("item")), lambda k, _: ~k.isin("id", "vector"))
+    return items.select(V.scalar_text(F.variant_get("item", "$.id", "variant")).alias("id"),
+                        F.variant_get("item", "$.vector", "array<float>").alias("vector"), V.to_object(rest).alias("metadata"))

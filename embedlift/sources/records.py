@@ -1,7 +1,8 @@
 """Canonical records from exports of each store type, from parquet and from any table.
 
 The exports are JSON: whole pages as the store's API returns them, or one
-record per line. ``multiline=True`` reads one JSON document per file.
+record per line. ``multiline=True`` reads one JSON document per file. What a
+reader cannot take for a record, :func:`read_rejects` lists.
 """
 
 from __future__ import annotations
@@ -104,12 +105,13 @@ def _float_or_zero(x: Column) -> Column:
 
 def read_milvus(spark: SparkSession, path: str, json_field: str = "metadata_json",
                 multiline: bool = False) -> DataFrame:
-    """Entities with ``id`` and ``embedding``; scalar, dynamic and JSON fields become metadata.
+    """Pages ``{data: [...]}`` or one entity per line, with ``id`` and ``embedding``; scalar, dynamic and JSON fields become metadata.
 
     The JSON field is merged in; a field of its own beats a member of the same name.
     """
     text = spark.read.text(path, wholetext=multiline)
-    rows = text.select(F.try_parse_json("value").alias("item")).filter(F.col("item").isNotNull())
+    pages = text.select(F.try_parse_json("value").alias("page")).filter(F.col("page").isNotNull())
+    rows = pages.select(_one_or_many(F.col("page"), F.try_variant_get("page", "$.data", "array<variant>")).alias("item"))
     reserved = ("id", "embedding", json_field)
     own = F.map_filter(V.as_map(F.col("item")), lambda k, _: ~k.isin(*reserved))
     inside = V.as_map(V.field(F.col("item"), json_field))
@@ -120,6 +122,32 @@ def read_milvus(spark: SparkSession, path: str, json_field: str = "metadata_json
         V.to_object(merged).alias("metadata")))
 
 
+_ITEMS = {"pinecone": "$.vectors", "qdrant": "$.result.points", "milvus": "$.data"}
+
+
+def read_rejects(spark: SparkSession, path: str, store_type: str, multiline: bool = False) -> DataFrame:
+    """What the reader of a store type leaves out: ``source_file, message, raw``.
+
+    Lines (or files) that are no JSON, and records without an id. Together with the records of the
+    reader this is everything in the export.
+    """
+    text = spark.read.text(path, wholetext=multiline).select(F.input_file_name().alias("source_file"), F.col("value").alias("raw"))
+    pages = text.filter(F.trim("raw") != "").withColumn("page", F.try_parse_json("raw"))
+    broken = pages.filter(F.col("page").isNull()).select("source_file", F.lit("not valid JSON").alias("message"), "raw")
+    if store_type == "weaviate":
+        by_class = V.as_map(F.try_variant_get("page", "$.data.Get[0]", "variant"))
+        listed = F.when(F.try_variant_get("page", "$.data", "variant").isNotNull(), F.flatten(F.transform(F.map_values(by_class), _items)))
+        record_id = F.coalesce(F.try_variant_get("item", "$._additional.id", "string"), F.try_variant_get("item", "$.id", "string"))
+    elif store_type in _ITEMS:
+        listed = F.try_variant_get("page", _ITEMS[store_type], "array<variant>")
+        record_id = V.scalar_text(F.try_variant_get("item", "$.id", "variant"))
+    else:
+        raise ValueError(f"unknown database type: {store_type!r}")
+    items = pages.filter(F.col("page").isNotNull()).select("source_file", F.explode(F.coalesce(listed, F.array("page"))).alias("item"))
+    nameless = items.filter(F.coalesce(record_id, F.lit("")) == "").select("source_file", F.lit("record has no id").alias("message"), F.to_json("item").alias("raw"))
+    return broken.unionByName(nameless)
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Canonical records stored as parquet."""
     return spark.read.schema(RECORD_DDL).parquet(path)

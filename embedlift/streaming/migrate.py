@@ -1,30 +1,41 @@
 """Continuous migration, dual writes, change feeds and running validation.
 
-Each micro-batch is committed under ``<name>:<batch number>``; a batch that is
-replayed after a failure finds its id in the collection's log and is skipped,
-so every sink sees every batch exactly once.
+Each micro-batch is committed under ``<query id>:<batch number>``. The query id
+belongs to the checkpoint folder: a batch that is replayed after a failure finds
+its id in the collection's log and is skipped, while another stream into the same
+target, or a stream whose checkpoint was lost, never meets the ids of an earlier
+one. Upserts are idempotent, so such a replay changes nothing.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from embedlift.operators.state import StateStore
-from embedlift.operators.transform import Mapping, check_mapping, migrate_records
+from embedlift.operators.transform import ERRORS, Mapping, apply_mapping, check_mapping, migrate_records
 from embedlift.operators.validate import pair_records, sampled, with_similarity
 from embedlift.model import SIMILARITY_THRESHOLD
 from embedlift.sinks.collection import Collection
-from embedlift.sinks.merge import dedupe_last_write
+from embedlift.sinks.merge import dedupe_last_write, has_unique_ids
 
 
-def _start(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, continuous: bool, name: str):
-    writer = (stream.writeStream.queryName(name).foreachBatch(step)
-              .option("checkpointLocation", checkpoint))
-    writer = writer if continuous else writer.trigger(availableNow=True)
-    return writer.start()
+def _start(stream: DataFrame, step: Callable[[DataFrame, str, int], None], checkpoint: str, continuous: bool, name: str):
+    """Run ``step(batch, batch id, number)`` on every micro-batch."""
+    started, query_id = threading.Event(), []
+
+    def run(batch: DataFrame, number: int) -> None:
+        started.wait()
+        step(batch, f"{query_id[0]}:{number}", number)
+
+    writer = stream.writeStream.queryName(name).foreachBatch(run).option("checkpointLocation", checkpoint)
+    query = (writer if continuous else writer.trigger(availableNow=True)).start()
+    query_id.append(query.id)
+    started.set()
+    return query
 
 
 def _tidy(target: Collection, batch_no: int, compact_every: int) -> None:
@@ -38,32 +49,41 @@ def migrate_stream(stream: DataFrame, target: Collection, mapping: Mapping, chec
     """Records arriving as files, mapped and upserted; with ``state`` the progress is checkpointed."""
     check_mapping(mapping)
 
-    def step(batch: DataFrame, number: int) -> None:
-        batch_id = f"{name}:{number}"
-        if target.has_batch(batch_id):
-            return
-        target.upsert(migrate_records(batch, mapping, on_error), batch_id=batch_id)
+    def step(batch: DataFrame, batch_id: str, number: int) -> None:
+        if not target.has_batch(batch_id):
+            # ids map one to one, so whether one repeats shows before the mapping
+            target.upsert(migrate_records(batch, mapping, on_error), batch_id=batch_id, unique=has_unique_ids(batch))
+            _tidy(target, number, compact_every)
         if state is not None:
-            record_progress(state, name, batch, number)
-        _tidy(target, number, compact_every)
+            failed = apply_mapping(batch, mapping).filter(F.size(ERRORS) > 0).count() if on_error == "drop" else 0
+            record_progress(state, name, batch, number, run_id=batch_id.rpartition(":")[0], failed=failed)
 
     return _start(stream, step, checkpoint, continuous, name)
 
 
-def record_progress(state: StateStore, migration_id: str, batch: DataFrame, number: int) -> None:
-    """Append one checkpoint row for a micro-batch: progress is a table, nothing polls."""
+def record_progress(state: StateStore, migration_id: str, batch: DataFrame, number: int, run_id: str = "",
+                    failed: int = 0) -> None:
+    """Append one checkpoint row for a micro-batch: progress is a table, nothing polls.
+
+    Totals are sums over batch numbers, so a batch that is replayed counts once.
+    """
     seen = batch.agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("last")).first()
-    before = state.checkpoint(migration_id)
-    done = (before["processed_count"] or 0) if before else 0
-    state.save_checkpoint(migration_id, batch_no=number + 1, last_processed_id=seen["last"],
-                          processed_count=done + seen["n"], failed_count=0)
+    mine = state.checkpoints().filter((F.col("migration_id") == migration_id) & (F.coalesce("run_id", F.lit("")) == run_id)
+                                      & (F.col("batch_no") <= number) & ~F.coalesce("deleted", F.lit(False)))
+    each = mine.groupBy("batch_no").agg(F.max_by("batch_records", "seq").alias("n"), F.max_by("batch_failed", "seq").alias("f"))
+    before = each.agg(F.sum("n").alias("n"), F.sum("f").alias("f")).first()
+    state.save_checkpoint(migration_id, batch_no=number + 1, last_processed_id=seen["last"], run_id=run_id,
+                          batch_records=seen["n"] - failed, batch_failed=failed,
+                          processed_count=(before["n"] or 0) + seen["n"] - failed, failed_count=(before["f"] or 0) + failed)
 
 
 def progress_stream(stream: DataFrame, state: StateStore, checkpoint: str, migration_id: str,
                     continuous: bool = False):
     """Only the progress rows of a stream of records."""
-    return _start(stream, lambda batch, number: record_progress(state, migration_id, batch, number), checkpoint,
-                  continuous, f"{migration_id}-progress")
+    def step(batch: DataFrame, batch_id: str, number: int) -> None:
+        record_progress(state, migration_id, batch, number, run_id=batch_id.rpartition(":")[0])
+
+    return _start(stream, step, checkpoint, continuous, f"{migration_id}-progress")
 
 
 def dual_write(stream: DataFrame, sinks: list[tuple[Collection, Mapping | None]], checkpoint: str,
@@ -73,12 +93,11 @@ def dual_write(stream: DataFrame, sinks: list[tuple[Collection, Mapping | None]]
     A sink that has the batch already is skipped, so a failure between two
     sinks is repaired by the replay.
     """
-    def step(batch: DataFrame, number: int) -> None:
-        batch_id = f"{name}:{number}"
-        for target, mapping in sinks:
-            if target.has_batch(batch_id):
-                continue
-            target.upsert(migrate_records(batch, mapping) if mapping else batch, batch_id=batch_id)
+    def step(batch: DataFrame, batch_id: str, number: int) -> None:
+        missing = [(target, mapping) for target, mapping in sinks if not target.has_batch(batch_id)]
+        unique = has_unique_ids(batch) if missing else True
+        for target, mapping in missing:
+            target.upsert(migrate_records(batch, mapping) if mapping else batch, batch_id=batch_id, unique=unique)
             _tidy(target, number, compact_every)
 
     return _start(stream, step, checkpoint, continuous, name)
@@ -90,8 +109,7 @@ def cdc_sync(stream: DataFrame, target: Collection, checkpoint: str, name: str =
     if not target.by_seq:
         raise ValueError("the target collection must be opened with by_seq=True")
 
-    def step(batch: DataFrame, number: int) -> None:
-        batch_id = f"{name}:{number}"
+    def step(batch: DataFrame, batch_id: str, number: int) -> None:
         if not target.has_batch(batch_id):
             target.apply(dedupe_last_write(batch, "seq"), batch_id)
             _tidy(target, number, compact_every)
@@ -121,7 +139,7 @@ def validate_stream(stream: DataFrame, target: Collection, runs_path: str, check
 
     A replayed batch overwrites its own row, so it does not count twice.
     """
-    def step(batch: DataFrame, number: int) -> None:
+    def step(batch: DataFrame, batch_id: str, number: int) -> None:
         sample = sampled(batch, sample_rate)
         pairs = with_similarity(pair_records(sample, _matching(sample, target.snapshot())))
         sums = pairs.agg(

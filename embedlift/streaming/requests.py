@@ -35,12 +35,13 @@ def rate_limit_stream(requests: DataFrame, key: str = "api_key", ts: str = "ts",
             state.remove()
             return
         v, last = state.get if state.exists else (None, None)
+        v = None if v is None else int(v)  # kept as text: it leaves 64 bits at high rates
         rows = pd.concat(list(frames), ignore_index=True).sort_values(["_t", "_tie"], kind="stable")
         times = rows["_t"]
         if last is not None:
             times = times.clip(lower=last)
         allowed, v = decide(times.tolist(), v)
-        state.update((v, int(times.iloc[-1])))
+        state.update((str(v), int(times.iloc[-1])))
         if idle_ms:
             state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({"api_key": group[0], "event_id": rows["_tie"].to_numpy(), "t": rows["_t"].to_numpy(),
@@ -50,7 +51,7 @@ def rate_limit_stream(requests: DataFrame, key: str = "api_key", ts: str = "ts",
         F.coalesce(F.col(key).cast("string"), F.lit(ANONYMOUS)).alias("_key"),
         F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"), F.col(tie).cast("bigint").alias("_tie"))
     decided = keyed.groupBy("_key").applyInPandasWithState(
-        step, "api_key string, event_id bigint, t bigint, allowed boolean", "v bigint, last bigint", "append",
+        step, "api_key string, event_id bigint, t bigint, allowed boolean", "v string, last bigint", "append",
         GroupStateTimeout.ProcessingTimeTimeout if forget_after else GroupStateTimeout.NoTimeout)
     return decided.select("api_key", "event_id", F.timestamp_micros("t").alias("ts"), "allowed",
                           F.when(F.col("allowed"), 0).otherwise(RPC_CODES["rate_limited"]).alias("code"))

@@ -8,11 +8,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_fallback: dict[str, str] = {}
 
+def build_session(app: str = "embedlift", cores: str | None = None, **conf: str) -> SparkSession:
+    """A session with adaptive execution; every setting can be overridden.
 
-def build_session(app: str = "embedlift", cores: str = "*", **conf: str) -> SparkSession:
-    """A session with adaptive execution; every setting can be overridden."""
+    The master is what the session was submitted with; ``cores`` asks for a local one instead.
+    """
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -20,25 +21,29 @@ def build_session(app: str = "embedlift", cores: str = "*", **conf: str) -> Spar
         "spark.ui.enabled": "false",
         **conf,
     }
-    builder = SparkSession.builder.appName(app).master(f"local[{cores}]")
+    builder = SparkSession.builder.appName(app)
+    if cores:
+        builder = builder.master(f"local[{cores}]")
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or the one set on the context.
 
-    A folder of our own is used only where the setting is absent (tests).
+    Only a local session (tests) gets a temporary folder where neither is set; a cluster has to name one.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    set_already = context._jsc.sc().getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or (set_already.get() if set_already.isDefined() else None)
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_fallback:
-        _local_fallback[app] = tempfile.mkdtemp(prefix="embedlift-")
-        spark.sparkContext.setCheckpointDir(_local_fallback[app])
-    return _local_fallback[app]
+    if not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="embedlift-")
+    context.setCheckpointDir(folder)
+    return folder
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

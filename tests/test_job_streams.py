@@ -1,13 +1,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from embedlift.operators.state import StateStore
+from embedlift.operators.state import StateStore, transition_violations
 from embedlift.operators.transform import FieldRule, Mapping
 from embedlift.operators.validate import content_checksum
 from embedlift.plans.job import MigrationConfig, dry_run, request, resume_migration, run_migration
 from embedlift.sinks.collection import Collection
 from embedlift.sources.streams import stream_records
-from embedlift.streaming.migrate import dual_write, migrate_stream
+from embedlift.streaming.migrate import dual_write, migrate_stream, record_progress
 
 MAPPING = Mapping("pinecone", "qdrant", (FieldRule("n", "n", "auto_number"),))
 
@@ -38,6 +38,7 @@ def test_steps_and_resume_end_in_the_same_target(spark, scratch):
     assert checksum(stepped) == want and state.checkpoint("m")["processed_count"] == 60
     # A crash after part of the work: resume from that checkpoint, overlapping with what is there already.
     for last in ("0000", "0041", "0059"):
+        state.set_state("m", "failed")
         state.save_checkpoint("m", last_processed_id=last, total_records=60, processed_count=int(last) + 1, failed_count=0, batch_no=1)
         assert resume_migration(df, stepped, state, MigrationConfig("m", MAPPING)) == "completed"
         assert checksum(stepped) == want
@@ -62,8 +63,34 @@ def test_control_requests(spark, scratch):
     with pytest.raises(ValueError, match="cannot roll back"):
         request(state, "m", "rollback")
     run_migration(source(spark, 5), target, state, MigrationConfig("m", MAPPING))
-    request(state, "m", "rollback")
-    assert state.state("m") == "rolled_back"
+    with pytest.raises(ValueError, match="cannot resume"):
+        resume_migration(source(spark, 5), target, state, MigrationConfig("m", MAPPING))
+    request(state, "m", "rollback", target)
+    assert state.state("m") == "rolled_back" and target.snapshot().count() == 0
+
+
+def test_a_new_run_writes_what_has_changed(spark, scratch):
+    target, state = stores(spark, scratch)
+    run_migration(source(spark, 5), target, state, MigrationConfig("m", MAPPING))
+    first = state.checkpoint("m")["run_id"]
+    changed = source(spark, 5).withColumn("vector", F.array(F.lit(9.0).cast("float")))
+    assert run_migration(changed, target, state, MigrationConfig("m", MAPPING)) == "completed"
+    assert {tuple(r["vector"]) for r in target.snapshot().collect()} == {(9.0,)}
+    assert state.checkpoint("m")["run_id"] != first and transition_violations(state.events()).count() == 0
+
+
+def test_checkpoints_hold_mapping_validation_and_errors(spark, scratch):
+    target, state = stores(spark, scratch)
+    run_migration(source(spark), target, state, MigrationConfig("m", MAPPING, steps=2, validate_every=1, sample_rate=1.0))
+    saved = state.checkpoint("m")
+    assert '"auto_number"' in saved["mapping_json"] and saved["validation"]["sampled"] > 0 and round(saved["validation"]["min"], 6) == 1.0
+    state.set_state("m", "failed")
+    with pytest.raises(ValueError, match="another mapping"):
+        resume_migration(source(spark), target, state, MigrationConfig("m", Mapping("pinecone", "qdrant", (FieldRule("x", "x"),))))
+    bad = Mapping("qdrant", "milvus", (FieldRule("x", "x", "to_iso_date"),))
+    with pytest.raises(Exception):
+        run_migration(source(spark, 5), target, state, MigrationConfig("b", bad))
+    assert "failed to convert" in state.checkpoint("b")["error"]
 
 
 def test_dry_run_writes_nothing(spark):
@@ -72,7 +99,7 @@ def test_dry_run_writes_nothing(spark):
     assert found == {("mapped", ""): 0, ("rejected", "x"): 5}
 
 
-def test_stream_equals_batch_and_replays_are_skipped(spark, scratch):
+def test_stream_equals_batch_and_replays_change_nothing(spark, scratch):
     df = source(spark)
     df.repartition(4).write.parquet(f"{scratch}/in")
     batch, state = stores(spark, scratch + "/b")
@@ -81,14 +108,43 @@ def test_stream_equals_batch_and_replays_are_skipped(spark, scratch):
     migrate_stream(stream_records(spark, f"{scratch}/in", files_per_batch=1), live, MAPPING, f"{scratch}/ck").awaitTermination()
     assert checksum(live) == checksum(batch)
     version = live.version()
-    # The same stream with a lost checkpoint folder replays every batch under the same ids.
+    # Nothing new below the same checkpoint: nothing is committed.
+    migrate_stream(stream_records(spark, f"{scratch}/in", files_per_batch=1), live, MAPPING, f"{scratch}/ck").awaitTermination()
+    assert live.version() == version
+    # A lost checkpoint folder replays every batch; the content stays the same.
     migrate_stream(stream_records(spark, f"{scratch}/in", files_per_batch=1), live, MAPPING, f"{scratch}/ck-new").awaitTermination()
-    assert live.version() == version and checksum(live) == checksum(batch)
+    assert checksum(live) == checksum(batch)
+
+
+def test_two_streams_into_one_target_both_arrive(spark, scratch):
+    df = source(spark)
+    df.filter("id < '0030'").coalesce(1).write.parquet(f"{scratch}/in1")
+    df.filter("id >= '0030'").coalesce(1).write.parquet(f"{scratch}/in2")
+    live = Collection(spark, f"{scratch}/live")
+    for part in (1, 2):
+        migrate_stream(stream_records(spark, f"{scratch}/in{part}"), live, MAPPING, f"{scratch}/ck{part}").awaitTermination()
+    assert live.snapshot().count() == 60
+
+
+def test_stream_progress_counts_a_replay_once_and_rejects_apart(spark, scratch):
+    state = StateStore(spark, f"{scratch}/s")
+    batch = source(spark, 10)
+    for number in (0, 1, 1, 2):
+        record_progress(state, "p", batch, number, run_id="q", failed=number)
+    saved = state.checkpoint("p")
+    assert (saved["processed_count"], saved["failed_count"]) == (27, 3)
 
 
 def test_dual_write_repairs_a_sink_that_missed_a_batch(spark, scratch):
     source(spark, 20).coalesce(1).write.parquet(f"{scratch}/in")
+
+    class Broken(Collection):
+        def upsert(self, *args, **options):
+            raise RuntimeError("down")
+
     a, b = Collection(spark, f"{scratch}/a"), Collection(spark, f"{scratch}/b")
-    a.upsert(source(spark, 20), batch_id="dw:0")               # the first sink had it before the crash
-    dual_write(stream_records(spark, f"{scratch}/in"), [(a, None), (b, MAPPING)], f"{scratch}/ck", name="dw").awaitTermination()
+    with pytest.raises(Exception, match="down"):
+        dual_write(stream_records(spark, f"{scratch}/in"), [(a, None), (Broken(spark, f"{scratch}/b"), MAPPING)], f"{scratch}/ck").awaitTermination()
+    assert a.version() == 1 and b.version() == 0
+    dual_write(stream_records(spark, f"{scratch}/in"), [(a, None), (b, MAPPING)], f"{scratch}/ck").awaitTermination()
     assert a.version() == 1 and b.snapshot().count() == 20

@@ -119,8 +119,11 @@ def test_reconcile_and_checksum(records):
 
 def test_reconcile_with_many_copies(spark, records):
     one = records([("hot", [1.0], "{}")]).select("*", F.explode(F.sequence(F.lit(1), F.lit(5000)))).drop("col")
-    got = D.reconcile(one, records([("hot", [1.0], "{}")])).first()
-    assert got["status"] == "matched" and got["source_copies"] == 5000
+    got = D.reconcile(one, one.repartition(3)).first()
+    assert got["status"] == "matched" and got["source_copies"] == got["target_copies"] == 5000
+    assert D.reconcile(one, records([("hot", [1.0], "{}")])).first()["status"] == "changed"
+    five = records([("x", [float(i)], "{}") for i in range(5)])
+    assert D.reconcile(five, five.filter("vector[0] in (0, 4)")).first()["status"] == "changed"
 
 
 def test_samples_are_the_same_on_both_sides(spark, records):

@@ -73,3 +73,12 @@ def test_one_key_with_most_rows_over_many_partitions(spark):
         mine = [r for r in rows if r[1] == key]
         assert [got[r[0]] for r in mine] == by_hand([r[2] for r in mine], 30, 4)
     assert len(got) == len(rows)
+
+
+def test_high_rates_leave_64_bits(spark):
+    base = 1_760_000_000_000_000
+    rows = [(i, "hot", base + i * 4_000) for i in range(3000)]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["event_id", "api_key", "us"])).selectExpr(
+        "event_id", "api_key", "timestamp_micros(us) AS ts")
+    got = {r["event_id"]: r["allowed"] for r in rate_limit(df, per_minute=6000, burst=5, partitions=8).collect()}
+    assert [got[i] for i in range(3000)] == by_hand([r[2] for r in rows], 6000, 5)

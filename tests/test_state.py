@@ -73,13 +73,13 @@ def test_unknown_state_is_refused(spark):
         S.set_state(ev, events(spark, [("a", 2, "paused")])).collect()
 
 
-@pytest.mark.parametrize("chunk", [3, 50, 10_000])
+@pytest.mark.parametrize("chunk", [1, 3, 16])
 def test_chunked_windows_equal_plain_ones(spark, chunk):
     rng = random.Random(chunk)
-    rows = [("hot" if i % 3 else f"k{i % 7}", i * rng.choice([1, 1, 1]) + 5, rng.randint(1, 9)) for i in range(0, 400)]
+    rows = [("hot" if i % 3 else f"k{i % 7}", 1_700_000_000_000_000_000 + i * 1_000_000_000, rng.randint(1, 9)) for i in range(0, 400)]
     df = spark.createDataFrame(rows, "key string, seq bigint, x bigint").filter("seq % 11 <> 0")
-    got = with_context(df, "key", "seq", previous=("x", "seq"), running={"total": "x"}, position="at", chunk_rows=chunk)
-    got = moving_average(got, "key", "at", "x", "mean", 4, chunk_rows=max(chunk, 4)).toPandas().sort_values(["key", "seq"])
+    got = with_context(df, "key", "seq", previous=("x", "seq"), running={"total": "x"}, position="at", chunks=chunk)
+    got = moving_average(got, "key", "at", "x", "mean", 4, chunk_rows=7).toPandas().sort_values(["key", "seq"])
     want = df.toPandas().sort_values(["key", "seq"])
     g = want.groupby("key")
     assert got["total"].tolist() == g["x"].cumsum().tolist()
@@ -92,10 +92,9 @@ def test_chunked_windows_equal_plain_ones(spark, chunk):
 
 def test_transitions(spark):
     ev = events(spark, [("ok", 1, "in_progress"), ("ok", 2, "in_progress"), ("ok", 3, "completed"), ("ok", 4, "rolled_back"),
-                        ("skip", 1, "completed"), ("undo", 1, "in_progress"), ("undo", 2, "failed"), ("undo", 3, "in_progress")])
-    for chunk in (1, 2, 1000):
-        got = {(r["migration_id"], r["prev_state"], r["state"]) for r in S.transition_violations(ev, chunk).collect()}
-        assert got == {("skip", "not_started", "completed"), ("undo", "failed", "in_progress")}
+                        ("skip", 1, "completed"), ("undo", 1, "in_progress"), ("undo", 2, "failed"), ("undo", 3, "in_progress"), ("undo", 4, "not_started")])
+    got = {(r["migration_id"], r["prev_state"], r["state"]) for r in S.transition_violations(ev).collect()}
+    assert got == {("skip", "not_started", "completed"), ("undo", "in_progress", "not_started")}
 
 
 def test_store_on_disk(spark, scratch):
