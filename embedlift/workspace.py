@@ -5,9 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_watching: list[list[str]] = []
+
 
 def build_session(app: str = "embedlift", cores: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution; every setting can be overridden.
@@ -48,7 +52,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other call uses."""
-    return os.path.join(shared_dir(spark), "embedlift", f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), "embedlift", f"{label}-{uuid.uuid4().hex}")
+    for made in _watching:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_made() -> Iterator[list[str]]:
+    """Collects the scratch paths handed out inside the block, for :func:`remove_scratch`."""
+    made: list[str] = []
+    _watching.append(made)
+    try:
+        yield made
+    finally:
+        _watching.remove(made)
+
+
+def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables once every result that reads them has been written."""
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_once(df: DataFrame, label: str) -> DataFrame:
