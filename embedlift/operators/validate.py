@@ -167,18 +167,19 @@ def missing_ids(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def metadata_completeness(pairs: DataFrame, fields: dict[str, str] | list[str]) -> DataFrame:
-    """Per field: in source, in target, equal, missing. ``fields`` maps source to target names."""
+    """Per field: in source, in target, equal, missing. ``fields`` maps source to target names.
+
+    All fields are counted in one aggregate; records are not multiplied.
+    """
     names = {f: f for f in fields} if isinstance(fields, list) else fields
-    rows = []
-    for src, dst in sorted(names.items()):
+    counts, rows = [], []
+    for i, (src, dst) in enumerate(sorted(names.items())):
         a, b = V.field(F.col("source_metadata"), src), V.field(F.col("target_metadata"), dst)
-        rows.append(F.struct(F.lit(src).alias("field"), a.isNotNull().alias("in_source"), b.isNotNull().alias("in_target"),
-                             F.coalesce(F.to_json(a) == F.to_json(b), F.lit(False)).alias("equal")))
-    flags = pairs.filter("found").select(F.explode(F.array(*rows)).alias("f")).select("f.*")
-    return flags.groupBy("field").agg(
-        F.count_if("in_source").alias("in_source"), F.count_if("in_target").alias("in_target"),
-        F.count_if("equal").alias("equal"),
-        F.count_if(F.col("in_source") & ~F.col("in_target")).alias("missing"))
+        measures = {"in_source": a.isNotNull(), "in_target": b.isNotNull(), "equal": F.coalesce(F.to_json(a) == F.to_json(b), F.lit(False)),
+                    "missing": a.isNotNull() & b.isNull()}
+        counts += [F.count_if(flag).alias(f"_{i}_{name}") for name, flag in measures.items()]
+        rows.append(F.struct(F.lit(src).alias("field"), *[F.col(f"_{i}_{name}").alias(name) for name in measures]))
+    return pairs.filter("found").agg(*counts).select(F.inline(F.array(*rows)))
 
 
 def content_checksum(df: DataFrame, by: list[Column] | None = None, row_hash: Column | None = None) -> DataFrame:

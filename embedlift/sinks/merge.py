@@ -26,9 +26,14 @@ def has_unique_ids(df: DataFrame, key: str = "id") -> bool:
 
 
 def upsert(target: DataFrame, delta: DataFrame, seq: str | None = None) -> DataFrame:
-    """Whole records replaced or added by id; metadata is not merged."""
+    """Whole records replaced or added by id; metadata is not merged.
+
+    One record per id is added: the one with the highest ``seq``, or without it the one with the largest content.
+    """
     if seq:
         delta = dedupe_last_write(delta, seq).drop(seq)
+    elif not has_unique_ids(delta):
+        delta = dedupe_last_write(delta.withColumn("_one", F.lit(1)), "_one").drop("_one")
     delta = delta.select(*target.columns)
     return target.join(delta.select("id"), "id", "left_anti").unionByName(delta)
 

@@ -78,3 +78,9 @@ def test_late_changes_lose_against_newer_ones(spark, scratch, records, metadata_
     assert metadata_of(store.snapshot()) == {"a": {"n": 5}}
     store.apply(change([("b", V1, '{"n": 8}')], "upsert", 8))
     assert metadata_of(store.snapshot()) == {"a": {"n": 5}, "b": {"n": 8}}
+
+
+def test_upsert_without_order_adds_one_record_per_id(spark, records):
+    target, delta = records([("a", [1.0], "{}")]), records([("a", [2.0], "{}"), ("a", [3.0], "{}"), ("b", [4.0], "{}")])
+    got = upsert(target, delta)
+    assert sorted(r["id"] for r in got.collect()) == ["a", "b"]
