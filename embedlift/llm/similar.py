@@ -17,7 +17,7 @@ class WordHashes(dict):
     """64-bit hashes of words, kept for words seen again up to a bound."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return value
@@ -31,6 +31,11 @@ def folded_words(text: str | None) -> list[str]:
     return _WORD.findall(_DIGIT.sub("0", text.lower())) if text else []
 
 
+def folded_lines(text: str) -> list[list[str]]:
+    """The folded words of each line."""
+    return [_WORD.findall(line) for line in _DIGIT.sub("0", text.lower()).split("\n")]
+
+
 def hashed(words: Sequence[str]) -> np.ndarray:
     return np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
 
