@@ -16,26 +16,21 @@ from pyspark.sql import functions as F
 
 from embedlift.workspace import checkpointed
 
-#: Each round takes four times as many centres of a bucket.
-_STEP = 2
+#: Each round takes sixteen times as many centres of a bucket.
+_STEP = 4
 
 
 def components(links: DataFrame) -> DataFrame:
     """``id`` and ``component`` (its smallest id) of every end of ``links`` (a, b).
 
-    Alternates two steps until nothing changes: all larger neighbours of an id move to its
-    smallest neighbour, then its smaller neighbours and itself do.
+    Alternates two steps until every id hangs on a root: all larger neighbours of an id move to
+    its smallest neighbour, then its smaller neighbours and itself do.
     """
     both = checkpointed(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
-    while True:
-        state = both.select(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before == state or state[0] == 0:
-            break
-        before = state
+    while not _are_stars(both):
         either = both.union(both.select("v", "u"))
         low = either.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = either.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = either.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         both = checkpointed(small.select("e.u", "e.v").where("u <> v").distinct())
@@ -43,19 +38,24 @@ def components(links: DataFrame) -> DataFrame:
     return found.union(both.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """True if every id has one edge to a smaller one at most and no id has edges both ways."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").isEmpty()
+
+
 def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``id`` and ``component`` of every id with a link.
 
     ``buckets`` has (bucket, id), any sortable types. ``verify`` gets pairs (a, b), each once,
     and returns those that are links.
     """
-    dealt = buckets.distinct().repartition("bucket")
+    dealt = buckets.distinct()
     sizes = dealt.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("centre")).where("n > 1")
     members = checkpointed(dealt.join(sizes, "bucket"))
     pairs = members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     tried = checkpointed(pairs)
-    links = checkpointed(verify(tried))
-    groups = components(links)
+    groups = components(verify(tried))
     levels = F.ceil(F.log2(F.col("n").cast("double"))).cast("int")
     most = members.agg(F.max(levels)).first()[0] or 0
     larger = members.where("n > 2").select("bucket", "id", levels.alias("levels"), F.length(F.regexp_extract(
@@ -63,6 +63,7 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
     for done in range(_STEP, most + _STEP, _STEP):
         now = (larger.where(F.col("levels") > done - _STEP).join(groups, "id", "left")
                .withColumn("component", F.coalesce("component", "id")))
+        now = checkpointed(now)
         open_ = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
         now = now.join(open_, "bucket")
         centres = now.where(F.col("level") >= F.col("levels") - done).select("bucket", F.col("id").alias("centre"), F.col("component").alias("its"))
@@ -74,6 +75,5 @@ def linked(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> Data
         tried = tried.union(fresh)
         found = checkpointed(verify(fresh))
         if not found.isEmpty():
-            links = links.union(found)
-            groups = components(links)
+            groups = components(groups.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found))
     return groups
