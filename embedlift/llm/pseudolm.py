@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from embedlift.workspace import write_once
 
-TOP, RARE = 2047, 512
-ROWS, COLUMNS = 40, 64
+TOP, RARE = 1023, 256
+ROWS, COLUMNS = 36, 36
 WIDTH = 16
 SIDES = (-2, -1, 1, 2)
 BATCH = 8192
@@ -112,12 +112,18 @@ class Network:
         p /= n
         q /= n
         back = (p @ self.row.T + q @ self.column.T) * (1 - hidden * hidden)
-        bias = np.stack([np.bincount(r, weights=q[:, j], minlength=ROWS) for j in range(COLUMNS)], axis=1)
-        sides = np.empty_like(self.sides)
-        for s in range(len(SIDES)):
-            for j in range(WIDTH):
-                sides[s, :, j] = np.bincount(around[:, s], weights=back[:, j], minlength=_SIZE)
-        return [sides, hidden.T @ p, p.sum(0), hidden.T @ q, bias.astype(np.float32)]
+        sides = np.stack([_summed_by(around[:, s], back, _SIZE) for s in range(len(SIDES))])
+        return [sides, hidden.T @ p, p.sum(0), hidden.T @ q, _summed_by(r, q, ROWS)]
+
+
+def _summed_by(groups: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sum of the rows of each of ``n`` groups."""
+    order = np.argsort(groups.astype(np.uint16), kind="stable")
+    ordered = groups[order]
+    begin = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    out = np.zeros((n, rows.shape[1]), np.float32)
+    out[ordered[begin]] = np.add.reduceat(rows[order], begin, axis=0)
+    return out
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
