@@ -31,9 +31,14 @@ def folded_words(text: str | None) -> list[str]:
     return _WORD.findall(_DIGIT.sub("0", text.lower())) if text else []
 
 
-def folded_lines(text: str) -> list[list[str]]:
-    """The folded words of each line."""
-    return [_WORD.findall(line) for line in _DIGIT.sub("0", text.lower()).split("\n")]
+def words_of(text: str | None) -> list[str]:
+    """Words in lower case with their digits, without anything between them."""
+    return _WORD.findall(text.lower()) if text else []
+
+
+def lines_of(text: str) -> list[list[str]]:
+    """The words of each line."""
+    return [_WORD.findall(line) for line in text.lower().split("\n")]
 
 
 def hashed(words: Sequence[str]) -> np.ndarray:
