@@ -2,7 +2,10 @@
 
 A small network sees two words to the left and two to the right of a position and predicts the
 word there; a document's score is the sum of the log-probabilities of all its words. Words are
-the ``TOP`` most frequent of the corpus; others share ``RARE`` numbers by their ending. The
+the ``TOP`` most frequent of the corpus; others share ``RARE`` numbers by their ending, and each has the
+probability of its number times its share of that number's words in the corpus. The shares come from the
+table of all words, joined by word, so they grow with the corpus; a word that the corpus lacks counts as
+one more word of its number. The
 output is a softmax in two steps (row of a grid, then column given row), each normalised, so
 probabilities of all words sum to one.
 
@@ -25,13 +28,13 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from embedlift.workspace import write_once
 
-TOP, RARE = 1023, 256
-ROWS, COLUMNS = 36, 36
+TOP, RARE = 2047, 512
+ROWS, COLUMNS = 40, 64
 WIDTH = 16
 SIDES = (-2, -1, 1, 2)
 BATCH = 8192
@@ -161,8 +164,17 @@ def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Model:
+    """``shares`` has ``word`` and ``log_share`` of all words beyond the vocabulary, ``totals`` has ``log_share`` of a new word by ``number``."""
+
     vocabulary: list[str]
     network: Network
+    shares: DataFrame
+    totals: DataFrame
+
+
+def _rare_number(word: Column) -> Column:
+    """What :class:`WordNumbers` gives a word beyond the vocabulary."""
+    return (F.lit(TOP) + F.crc32(F.encode(F.right(word, F.lit(3)), "utf-8")) % RARE).cast("int")
 
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
@@ -173,7 +185,12 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     vocabulary = [r.word for r in top]
     known = np.zeros(_SIZE)
     known[:len(top)] = [r.n for r in top]
-    rest = (counts.join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in vocabulary], "word string")), "word", "left_anti").agg(F.sum("n")).first()[0]) or 0
+    rare = (counts.join(F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in vocabulary], "word string")), "word", "left_anti")
+            .withColumn("number", _rare_number(F.col("word"))))
+    totals = write_once(rare.groupBy("number").agg(F.sum("n").alias("total")), "word-totals")
+    rest = totals.agg(F.sum("total")).first()[0] or 0
+    shares = rare.join(F.broadcast(totals), "number").select("word", F.log(F.col("n") / (F.col("total") + 1)).alias("log_share"))
+    unseen = totals.select("number", (-F.log(F.col("total") + 1.0)).alias("log_share"))
     known[TOP:TOP + RARE] = rest / RARE
     start = Network.start(known)
 
@@ -217,7 +234,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     parts = source.mapInArrow(trained, "block int, data binary, n long").repartition("block").mapInArrow(summed, "block int, data binary, n long").collect()
     parts = sorted((r.block, r.n, bytes(r.data)) for r in parts)
     seen = parts[0][1] if parts else 0
-    return Model(vocabulary, start.filled(np.concatenate([np.frombuffer(d) for _, _, d in parts]) / seen) if seen else start)
+    return Model(vocabulary, start.filled(np.concatenate([np.frombuffer(d) for _, _, d in parts]) / seen) if seen else start, shares, unseen)
 
 
 def _passed(held: list[np.ndarray], step) -> None:
@@ -226,7 +243,7 @@ def _passed(held: list[np.ndarray], step) -> None:
         step(around[i:i + BATCH], words[i:i + BATCH])
 
 
-def log_probabilities(model: Model, texts: list[str | None], numbers: WordNumbers) -> list[np.ndarray]:
+def log_probabilities(network: Network, texts: list[str | None], numbers: WordNumbers) -> list[np.ndarray]:
     """The log-probability of each word of each text."""
     found = [np.array([numbers[w] for w in t.lower().split()], np.int32) if t else np.empty(0, np.int32) for t in texts]
     out = []
@@ -237,7 +254,7 @@ def log_probabilities(model: Model, texts: list[str | None], numbers: WordNumber
             n += len(found[stop])
             stop += 1
         words, around = np.concatenate(found[begin:stop]), np.concatenate([_around(w) for w in found[begin:stop]])
-        values = np.concatenate([model.network.forward(around[i:i + BATCH], words[i:i + BATCH])[3] for i in range(0, len(words), BATCH)] or [np.empty(0)])
+        values = np.concatenate([network.forward(around[i:i + BATCH], words[i:i + BATCH])[3] for i in range(0, len(words), BATCH)] or [np.empty(0)])
         out += np.split(values, np.cumsum([len(w) for w in found[begin:stop]])[:-1])
         begin = stop
     return out
@@ -245,15 +262,33 @@ def log_probabilities(model: Model, texts: list[str | None], numbers: WordNumber
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_words``, ``score`` (sum of log-probabilities) and ``mean_score`` of every row."""
+    vocabulary, network = model.vocabulary, model.network
+
     def scores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers = WordNumbers(model.vocabulary)
+        numbers = WordNumbers(vocabulary)
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                found = log_probabilities(model, part.column(1).to_pylist(), numbers)
-                sums = [float(v.sum(dtype=np.float64)) for v in found]
-                yield pa.record_batch([part.column(0), pa.array([len(v) for v in found], pa.int64()), pa.array(sums), pa.array([s / len(v) if len(v) else None for s, v in zip(sums, found)], pa.float64())],
-                                      names=[id_col, "n_words", "score", "mean_score"])
+                texts = part.column(1).to_pylist()
+                found = log_probabilities(network, texts, numbers)
+                rare = []
+                for text in texts:
+                    counts: Counter[str] = Counter()
+                    for w, n in Counter(text.lower().split() if text else ()).items():
+                        if numbers[w] >= TOP:
+                            counts[w.strip(_ENDS) or w] += n
+                    rare.append(list(counts.items()))
+                yield pa.record_batch([part.column(0), pa.array([len(v) for v in found], pa.int64()), pa.array([float(v.sum(dtype=np.float64)) for v in found]), pa.array(rare, pa.map_(pa.string(), pa.int64()))],
+                                      names=[id_col, "n_words", "network", "rare"])
 
     source = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`").alias("__text"))
-    return source.mapInArrow(scores, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_words long, score double, mean_score double")
+    rows = source.mapInArrow(scores, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_words long, network double, rare map<string,long>")
+    rows = write_once(rows.withColumn("__row", F.monotonically_increasing_id()), "network-scores")
+    words = rows.select("__row", F.explode("rare").alias("word", "n"))
+    # sums of decimals don't depend on the order, so equal texts score equally
+    within = (words.join(model.shares, "word", "left").withColumn("number", _rare_number(F.col("word")))
+              .join(F.broadcast(model.totals.withColumnRenamed("log_share", "new")), "number", "left")
+              .groupBy("__row").agg(F.sum((F.col("n") * F.coalesce("log_share", "new", F.lit(0.0))).cast("decimal(28,12)")).cast("double").alias("within")))
+    score = F.col("network") + F.coalesce("within", F.lit(0.0))
+    return (rows.drop("rare").join(within, "__row", "left").withColumn("score", score)
+            .select(F.col(f"`{id_col}`"), "n_words", "score", F.when(F.col("n_words") > 0, F.col("score") / F.col("n_words")).alias("mean_score")))

@@ -46,6 +46,16 @@ def test_held_out_text_scores_above_shuffled_text(spark):
     assert np.mean([score[i] for i in range(30)]) > np.log(1 / 40) + 0.5
 
 
+def test_a_rare_word_scores_by_its_share_of_its_number(spark):
+    top = [f"top{i:04d}" for i in range(pseudolm.TOP)]
+    rows = [" ".join(top * 10), "aaaending " * 6 + "bbbending bbbending."]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in enumerate(rows)])
+    model = pseudolm.train(docs)
+    asked = frame(spark, [(i, w, None, None, None) for i, w in enumerate(["aaaending", "bbbending", "cccending"])])
+    score = {r.doc_id: r.score for r in pseudolm.scored(asked, model).collect()}
+    assert abs(score[0] - score[1] - np.log(3)) < 1e-6 and abs(score[1] - score[2] - np.log(2)) < 1e-6
+
+
 def test_awkward_rows(spark):
     docs = frame(spark, awkward())
     model = pseudolm.train(docs)
