@@ -228,7 +228,7 @@ def sparse_requests(spark, sf):
 @query("paged_source", """
 SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dims, round(CAST(embedding[1] AS DOUBLE), 5) AS first, label FROM embeddings""")
 def paged_embeddings(spark, sf):
-    """The embeddings as page files, each naming the next page of its shard; pages are pulled shard by shard."""
+    """The embeddings as page files, each naming the next page of its shard, read back with ``paged_records``."""
     rows = table(spark, sf, "embeddings")
     shard, page = F.col("vec_id") % 4, F.floor(F.col("vec_id") / 400)
     path = scratch_path(spark, "pages")
