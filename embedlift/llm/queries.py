@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from embedlift.llm import bpe, decontaminate, lines, ordermin, pseudolm, quality, runindex, secrets, tokencount, warc
+from embedlift.llm import bpe, decontaminate, lines, ordermin, periods, pseudolm, quality, runindex, secrets, tokencount, warc
 from embedlift.llm.base import QUERIES, register, table
 from embedlift.workspace import scratch_path
 
@@ -130,3 +130,13 @@ def op10_warc_reassembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = warc.read_pages(spark, path)
     checked = F.when(F.col("problem").isNull(), F.col("payload_bytes")).otherwise(F.raise_error(F.concat(F.lit("page "), F.col("page_id").cast("string"), F.lit(": "), F.col("problem"))).cast("long"))
     return pages.select("page_id", checked.alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periods.with_known_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periods.with_runs(docs).withColumn("best", periods.first_strongest(F.col("periodic.runs")))
+    lines_of = F.transform("periodic.runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", F.size("periodic.runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines_of, ""), 256).alias("runs_sha256"), F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"))
