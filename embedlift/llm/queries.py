@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from embedlift.llm import bpe, decontaminate, lines, ordermin, periods, pseudolm, quality, runindex, secrets, tokencount, warc
+from embedlift.llm import bpe, decontaminate, lines, ordermin, periods, personal, pseudolm, quality, repair, runindex, secrets, tokencount, warc
 from embedlift.llm.base import QUERIES, register, table
 from embedlift.workspace import scratch_path
 
@@ -140,3 +140,29 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("periodic.runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
                         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
                         F.sha2(F.array_join(lines_of, ""), 256).alias("runs_sha256"), F.sha2("periodic.collapsed", 256).alias("collapsed_sha256"))
+
+
+@register("op11_turn_repair")
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planned, kept = repair.repair(repair.damaged(given))
+    all_ids = given.select(F.col("conv_id").alias("id")).distinct()
+    found = all_ids.join(planned, F.col("id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    found = found.join(repair.digests(kept), F.col("id").eqNullSafe(F.col("conv_id")), "left")
+    numbers = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select(F.col("id").alias("conv_id"), *numbers, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@register("op13_personal_data")
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal.with_personal_data(docs, personal.train(docs))
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("personal.base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select("doc_id", *map(counted, personal.KINDS), F.sha2(listed("personal.base"), 256).alias("base_sha256"), listed("personal.spans").alias("spans"))
