@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from embedlift.functions import variants as V
 from embedlift.operators.transform import map_namespace
 from embedlift.queries import query
 from embedlift.queries.tables import (SRC_SQL, document_records, event_records, id_text, source_records, table)
+from embedlift.sinks.buckets import BucketedCollection
 from embedlift.sinks.collection import Collection
 from embedlift.sinks.exports import write_milvus, write_pinecone, write_qdrant, write_weaviate
 from embedlift.sinks.merge import dedupe_last_write, delete_by_ids, upsert
 from embedlift.sources.batches import assign_batches
-from embedlift.sources.paged import paged_records
+from embedlift.sources.paged import paged_records, paged_source, paged_stream, stored_pages, write_pages
 from embedlift.sources.records import (read_milvus, read_pinecone, read_qdrant, read_records, read_rejects, read_weaviate,
                                        records_from)
 from embedlift.workspace import scratch_path
@@ -95,6 +98,72 @@ def collection_history(spark, sf):
     return found
 
 
+# -- collection in buckets ---------------------------------------------------
+@query("bucketed_upsert", f"{_MERGED_SQL} SELECT * FROM merged")
+def buckets_after_upsert(spark, sf):
+    store = BucketedCollection(spark, scratch_path(spark, "buckets"), buckets=16)
+    store.upsert(source_records(spark, sf), batch_id="load", unique=True)
+    store.upsert(_delta(spark, sf), batch_id="delta", seq="seq")
+    store.upsert(source_records(spark, sf), batch_id="load")   # a repeated batch changes nothing
+    return _merged(store.snapshot())
+
+
+@query("bucketed_versions", f"""{_MERGED_SQL}, toxic AS (SELECT {DOC_ID} AS id FROM labels WHERE toxic = 1)
+SELECT 'loaded' AS version, count(*) AS n, count(label) AS n_label FROM src
+UNION ALL SELECT 'merged', count(*), count(label) FROM merged
+UNION ALL SELECT 'deleted', count(*), count(label) FROM merged WHERE id NOT IN (SELECT id FROM toxic)
+UNION ALL SELECT 'rolled back', count(*), count(label) FROM src
+UNION ALL SELECT 'merged again', count(*), count(label) FROM merged""")
+def bucketed_history(spark, sf):
+    """Each version is read by the folders that its commits name."""
+    store = BucketedCollection(spark, scratch_path(spark, "bucket-versions"), buckets=8, checkpoint_every=2)
+    toxic = table(spark, sf, "labels").filter(F.col("toxic") == 1).select(id_text("doc_id").alias("id"))
+    loaded = store.upsert(source_records(spark, sf), batch_id="load", unique=True)
+    at = {"loaded": loaded, "merged": store.upsert(_delta(spark, sf), "delta", seq="seq"), "deleted": store.delete(toxic)}
+    at["rolled back"] = store.rollback_to(loaded)
+    at["merged again"] = store.upsert(_delta(spark, sf), "delta", seq="seq")   # the rollback took the batch back
+    found = None
+    for name, version in at.items():
+        one = store.snapshot(version).agg(F.count(F.lit(1)).alias("n"), F.count(meta("label", "int")).alias("n_label")).select(
+            F.lit(name).alias("version"), "n", "n_label")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@query("bucketed_merge_writes", f"""WITH {SRC_SQL}, picked AS (SELECT id, label + 1000 AS label FROM src WHERE vec_id % 499 = 0)
+SELECT src.id, coalesce(picked.label, src.label) AS label, true AS only_touched_buckets_written FROM src LEFT JOIN picked USING (id)""")
+def rewrite_few_buckets(spark, sf):
+    """Changes of every 499th record: the buckets whose folder changed are those of the changed ids, and no other."""
+    store = BucketedCollection(spark, scratch_path(spark, "bucket-writes"), buckets=256)
+    store.upsert(source_records(spark, sf), unique=True)
+    before = store.log.head().buckets
+    changed = records_from(embedded_documents(spark, sf).filter(F.col("vec_id") % 499 == 0).withColumn("label", F.col("label") + 1000), "id", "vector", ["label"])
+    store.upsert(changed, unique=True)
+    after = store.log.head().buckets
+    touched = {r[0] for r in changed.select(store.bucket_of(F.col("id"))).distinct().collect()}
+    only = {b for b in after if after[b] != before.get(b)} == touched
+    return store.snapshot().select("id", meta("label", "int").alias("label"), F.lit(only).alias("only_touched_buckets_written"))
+
+
+@query("concurrent_writers", """
+SELECT lpad(CAST(event_id AS VARCHAR), 10, '0') AS id, CAST(event_id % 3 AS INTEGER) AS writer, 4 AS n_commits FROM events""")
+def three_writers(spark, sf):
+    """Three threads with a collection of their own write thirds of the events, spread over all buckets, at the same time."""
+    root = scratch_path(spark, "writers")
+    rows = event_records(spark, sf)
+    BucketedCollection(spark, root, buckets=8).upsert(rows, unique=True)
+
+    def write(third: int) -> int:
+        number = F.col("id").cast("bigint")
+        mine = rows.filter(number % 3 == third).withColumn("metadata", F.to_variant_object(F.struct(F.lit(third).alias("writer"))))
+        return BucketedCollection(spark, root).upsert(mine, f"writer-{third}", unique=True)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, range(3)))
+    store = BucketedCollection(spark, root)
+    return store.snapshot().select("id", meta("writer", "int").alias("writer"), F.lit(len(store.commits())).alias("n_commits"))
+
+
 # -- exports and readers ---------------------------------------------------
 _TRIP_SQL = """SELECT lpad(CAST(event_id AS VARCHAR), 10, '0') AS id, round(value, 4) AS first, CAST(props->>'k' AS INTEGER) AS k,
   event_type AS evt_type, '["' || event_type || '","' || user_id || '"]' AS tags FROM events"""
@@ -225,10 +294,12 @@ def sparse_requests(spark, sf):
                                              F.round(F.col("sparse.values")[0].cast("double"), 2).alias("value"))
 
 
-@query("paged_source", """
-SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dims, round(CAST(embedding[1] AS DOUBLE), 5) AS first, label FROM embeddings""")
-def paged_embeddings(spark, sf):
-    """The embeddings as page files, each naming the next page of its shard, read back with ``paged_records``."""
+_PAGED_SQL = """
+SELECT CAST(vec_id AS VARCHAR) AS id, len(embedding) AS dims, round(CAST(embedding[1] AS DOUBLE), 5) AS first, label FROM embeddings"""
+
+
+def _pages(spark, sf):
+    """The embeddings as pages of four shards, each naming the next page of its shard."""
     rows = table(spark, sf, "embeddings")
     shard, page = F.col("vec_id") % 4, F.floor(F.col("vec_id") / 400)
     path = scratch_path(spark, "pages")
@@ -236,6 +307,39 @@ def paged_embeddings(spark, sf):
      .groupBy("shard", "page").agg(F.to_json(F.sort_array(F.collect_list("r"))).alias("rows")).write.parquet(path))
     pages = spark.read.parquet(path)
     last = pages.groupBy("shard").agg(F.max("page").alias("last"))
-    tokens = pages.join(last, "shard").select("shard", "page", F.when(F.col("page") < F.col("last"), F.col("page") + 1).alias("next"), "rows")
-    return paged_records(tokens).select(
-        "id", F.size("vector").alias("dims"), F.round(F.col("vector")[0].cast("double"), 5).alias("first"), meta("label", "int").alias("label"))
+    return pages.join(last, "shard").select("shard", "page", F.when(F.col("page") < F.col("last"), F.col("page") + 1).alias("next"), "rows")
+
+
+def _paged(df):
+    return df.select("id", F.size("vector").alias("dims"), F.round(F.col("vector")[0].cast("double"), 5).alias("first"), meta("label", "int").alias("label"))
+
+
+@query("paged_records", _PAGED_SQL)
+def read_stored_pages(spark, sf):
+    return _paged(paged_records(_pages(spark, sf)))
+
+
+@query("paged_source", _PAGED_SQL)
+def paged_embeddings(spark, sf):
+    """Page files pulled one by one along their tokens, a task for each shard."""
+    path = scratch_path(spark, "page-files")
+    write_pages(_pages(spark, sf), path)
+    return _paged(paged_source(spark, stored_pages(path, "0"), range(4)))
+
+
+@query("paged_stream", _PAGED_SQL)
+def stream_pages(spark, sf):
+    """The same pages as a stream: one query reads a first batch, another goes on after it from the tokens it reached."""
+    root = scratch_path(spark, "page-stream")
+    write_pages(_pages(spark, sf), f"{root}/pages")
+
+    def start(trigger):
+        stream = paged_stream(spark, stored_pages(f"{root}/pages", "0"), range(4), f"{root}/position", pages_per_batch=8)
+        return (stream.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ck")
+                .trigger(**trigger).start())
+
+    start({"availableNow": True}).awaitTermination()
+    rest = start({"processingTime": "0 seconds"})
+    rest.processAllAvailable()
+    rest.stop()
+    return _paged(spark.read.parquet(f"{root}/out"))

@@ -133,3 +133,70 @@ def test_pages_follow_the_returned_cursor(spark):
     got = paged_source(spark, fetch, ["s", "t"], 2)
     assert sorted(r["id"] for r in got.select("id", V.field(F.col("metadata"), "n", "int")).collect()) == [
         "s-0", "s-1", "s-2", "t-0", "t-1", "t-2"]
+
+
+def test_page_stream_resumes_at_the_token_and_reads_no_committed_page_again(spark, scratch):
+    import os
+
+    from embedlift.sources.paged import paged_stream
+
+    seen = f"{os.path.dirname(scratch)}/seen-{os.path.basename(scratch)}".removeprefix("file:")
+    os.makedirs(seen)
+
+    def fetch(shard, cursor, limit):
+        at = 0 if cursor is None else cursor["at"]
+        with open(f"{seen}/{shard}-{at}", "a") as log:
+            log.write("x")
+        rows = [(f"{shard}:{i}", [float(i)], '{"n": %d}' % i) for i in range(at, min(at + limit, 50))]
+        return rows, {"at": at + limit} if at + limit < 50 else None
+
+    def advance(shard, cursor, limit):
+        at = 0 if cursor is None else cursor["at"]
+        return {"at": at + limit} if at + limit < 50 else None
+
+    def start(**trigger):
+        stream = paged_stream(spark, fetch, ["a", "b"], f"{scratch}/position", page_size=10, pages_per_batch=2, advance=advance)
+        return (stream.selectExpr("id", "vector[0] AS x").writeStream.format("parquet").option("path", f"{scratch}/out")
+                .option("checkpointLocation", f"{scratch}/ck").trigger(**trigger).start())
+
+    start(availableNow=True).awaitTermination()
+    begun = spark.read.parquet(f"{scratch}/out").count()
+    assert 0 < begun < 100 and begun % 40 == 0
+    for _ in range(2):   # goes on, then finds nothing left
+        query = start(processingTime="0 seconds")
+        query.processAllAvailable()
+        query.stop()
+    rows = spark.read.parquet(f"{scratch}/out").collect()
+    assert sorted(r["id"] for r in rows) == sorted(f"{s}:{i}" for s in "ab" for i in range(50))
+    assert {name: open(f"{seen}/{name}").read() for name in os.listdir(seen)} == {f"{s}-{i}": "x" for s in "ab" for i in range(0, 50, 10)}
+
+
+def test_page_stream_repeats_a_batch_that_failed_with_the_same_tokens(spark, scratch):
+    import os
+
+    import pytest
+
+    from embedlift.sources.paged import paged_stream
+
+    broken = f"{scratch}-broken".removeprefix("file:")
+    os.makedirs(os.path.dirname(broken), exist_ok=True)
+    open(broken, "w").close()
+
+    def fetch(shard, cursor, limit):
+        at = cursor or 0
+        if at == 10 and os.path.exists(broken):
+            raise OSError("connection lost")
+        return [(f"{shard}:{i}", None, "{}") for i in range(at, at + 10)], at + 10 if at < 30 else None
+
+    def start():
+        stream = paged_stream(spark, fetch, ["a"], f"{scratch}/position", page_size=10, pages_per_batch=2, advance=lambda s, c, n: (c or 0) + 10 if (c or 0) < 30 else None)
+        return (stream.select("id").writeStream.format("parquet").option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck")
+                .trigger(processingTime="0 seconds").start())
+
+    with pytest.raises(Exception, match="connection lost"):
+        start().processAllAvailable()
+    os.remove(broken)
+    query = start()
+    query.processAllAvailable()
+    query.stop()
+    assert sorted(r["id"] for r in spark.read.parquet(f"{scratch}/out").collect()) == sorted(f"a:{i}" for i in range(40))
