@@ -14,7 +14,7 @@ The field is trained here, on at most ``MOST_EXAMPLES`` generated labelled snipp
 each kind that the fixed patterns miss, look-alikes (dates, versions, prices, article and order
 numbers, digits with a wrong check digit, places written as "at ...") in the same surroundings, and
 plain forms beside further numbers. The
-surrounding words come from at most ``MOST_CONTEXTS`` documents, those with the smallest hashes of
+surrounding words come from at most ``MOST_CONTEXTS`` documents, by the smallest hashes of their
 doc_id, 600 characters each; this is the only part that does not read all data.
 
 Defined cases: a null or empty text has no spans; offsets are code points, end exclusive; of spans
@@ -488,7 +488,9 @@ def labelled(contexts: list[str], n: int = MOST_EXAMPLES, seed: int = 7) -> list
 
 def train(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", examples: int = MOST_EXAMPLES, contexts: int = MOST_CONTEXTS) -> Field:
     """A field whose examples stand among words of the corpus."""
-    some = docs.select(F.xxhash64(F.col(f"`{doc_id}`")).alias("h"), F.substring(F.col(f"`{text}`"), 1, 600).alias("t")).where("t is not null")
+    share = min(1.0, 2 * contexts / max(1, docs.count()))   # by hash first, so that no task offers more than its share
+    some = docs.select(F.pmod(F.xxhash64(F.col(f"`{doc_id}`")), F.lit(1 << 40)).alias("h"), F.substring(F.col(f"`{text}`"), 1, 600).alias("t"))
+    some = some.where(F.col("t").isNotNull() & (F.col("h") <= int(share * (1 << 40))))
     return fit(labelled([r.t for r in some.orderBy("h", "t").limit(contexts).collect()], examples))
 
 
