@@ -1,6 +1,6 @@
 """WARC archives: write pages as segmented, chunked records; read, reassemble and decode them.
 
-Records are built with column functions and written by Spark's text writer, whose
+Blocks are framed and cut once per page, records are built with column functions and written by Spark's text writer, whose
 line separator is the end of a record, so archives can go to any file system that
 Spark writes. A record above ``SEGMENT_CHARS`` is cut into a first record and
 continuation records, which name the first one, their number and, in the last, the
@@ -26,7 +26,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 SEGMENT_CHARS = 32768
 CHUNK_CHARS = 8192
@@ -38,6 +38,29 @@ _PART = "number int, total long, block binary"
 _RECORD = f"record_id string, origin_id string, record_type string, page_id long, refers_to long, payload_bytes long, payload_digest string, {_PART}"
 
 
+_HEAD = _EOL.join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Transfer-Encoding: chunked", "", ""])
+
+
+def segments(body: str | None) -> list[str]:
+    """The block of a page, chunked and cut into segments; None for a revisit, which has no body."""
+    if body is None:
+        return [_HEAD]
+    pieces = [_HEAD]
+    for at in range(0, len(body), CHUNK_CHARS):
+        chunk = body[at:at + CHUNK_CHARS]
+        pieces += [f"{len(chunk.encode('utf-8', 'surrogatepass')):x}", _EOL, chunk, _EOL]
+    block = "".join([*pieces, "0", _EOL, _EOL])
+    return [block[at:at + SEGMENT_CHARS] for at in range(0, len(block), SEGMENT_CHARS)]
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _segments(bodies: pa.Array, refers: pa.Array) -> pa.Array:
+    return pa.array((segments(b.as_py() if r.as_py() is None else None) for b, r in zip(bodies, refers)), pa.list_(pa.string()), size=len(bodies))
+
+
+_segments = _segments.asNondeterministic()   # cut once per page, whatever is asked of the parts
+
+
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
     """Write one record per page; equal payloads become revisits of the one with the smallest id."""
     body = F.coalesce(F.col(f"`{html}`"), F.lit(""))
@@ -48,17 +71,9 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     rows = (base.join(shared, "digest", "left")
             .withColumn("refers", F.expr("case when first is not null and not (page_id <=> first) then first end"))
             .withColumn("record_id", F.concat(F.lit("<urn:uuid:"), F.uuid(), F.lit(">"))))
-    chunks = F.expr(f"transform(sequence(1, greatest(1, int(ceil(length(body) / {CHUNK_CHARS})))), i -> "
-                    f"substring(body, (i - 1) * {CHUNK_CHARS} + 1, {CHUNK_CHARS}))")
-    framed = F.transform(F.filter(chunks, lambda c: c != ""),
-                         lambda c: F.concat(F.lower(F.hex(F.octet_length(c).cast("long"))), F.lit(_EOL), c, F.lit(_EOL)))
-    head = F.lit(_EOL.join(["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Transfer-Encoding: chunked", "", ""]))
-    block = F.when(F.col("refers").isNull(), F.concat(head, F.array_join(framed, ""), F.lit(f"0{_EOL}{_EOL}"))).otherwise(head)
-    parts = F.expr(f"transform(sequence(1, int(ceil(length(block) / {SEGMENT_CHARS}))), i -> "
-                   f"substring(block, (i - 1) * {SEGMENT_CHARS} + 1, {SEGMENT_CHARS}))")
-    rows = (rows.withColumn("block", block).withColumn("total", F.octet_length("block")).withColumn("parts", parts)
-            .withColumn("n_parts", F.size("parts")).drop("block", "body")
-            .select("*", F.posexplode("parts").alias("at", "part")).drop("parts"))
+    rows = (rows.withColumn("parts", _segments("body", "refers")).drop("body")
+            .withColumn("total", F.aggregate("parts", F.lit(0).cast("long"), lambda n, p: n + F.octet_length(p)))
+            .withColumn("n_parts", F.size("parts")).select("*", F.posexplode("parts").alias("at", "part")).drop("parts"))
 
     def field(name: str, value) -> F.Column:
         return F.concat(F.lit(f"{name}: "), value.cast("string"))
@@ -133,6 +148,11 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(_rows, _RECORD)
 
 
+@F.arrow_udf(BinaryType())
+def _joined(parts: pa.Array) -> pa.Array:
+    return pa.array((b"".join(p.as_py()) for p in parts), pa.binary(), size=len(parts))
+
+
 def reassembled(records: DataFrame) -> DataFrame:
     """One row per logical record: segments joined in order, ``problem`` where they don't add up.
 
@@ -145,7 +165,7 @@ def reassembled(records: DataFrame) -> DataFrame:
     joined = (cut.withColumn("problem", F.expr(
         "case when total is null or size(parts) != parts[size(parts) - 1].number or parts[0].number != 1 then 'segments are missing' "
         "when aggregate(parts, 0L, (n, p) -> n + octet_length(p.block)) != total then 'total length differs' end"))
-        .withColumn("block", F.expr("aggregate(parts, cast('' as binary), (b, p) -> concat(b, p.block))")))
+        .withColumn("block", _joined("parts.block")))
     columns = ["record_id", "record_type", "page_id", "refers_to", "payload_bytes", "payload_digest", "block", "problem"]
     return whole.select(*columns).unionByName(joined.select(*columns))
 

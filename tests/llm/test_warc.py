@@ -60,3 +60,21 @@ def test_foreign_framing():
 
 def test_empty_table(spark, scratch):
     assert write_and_read(spark, [], scratch).count() == 0
+
+
+def test_a_page_of_twenty_megabytes(spark, scratch):
+    body = "<p>é" + "0123456789abcdef\r\n" * 1_150_000
+    rows = [(1, "u", body, None, None), (2, "v", body, None, None), (3, "w", "short", None, None)]
+    found = {r.page_id: r for r in write_and_read(spark, rows, scratch).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem").collect()}
+    want = (len(body.encode()), hashlib.sha256(body.encode()).hexdigest())
+    assert (found[1].payload_bytes, found[1].payload_digest, found[1].record_type, found[1].problem) == (*want, "response", None)
+    assert (found[2].payload_bytes, found[2].payload_digest, found[2].record_type, found[2].refers_to) == (*want, "revisit", 1)
+
+
+def test_segments_equal_their_definition():
+    for body in ("", "a", "é" * 8192, "x" * 8193, "👍" * 40_000):
+        chunks = [body[i:i + warc.CHUNK_CHARS] for i in range(0, len(body), warc.CHUNK_CHARS)]
+        block = warc._HEAD + "".join(f"{len(c.encode()):x}\r\n{c}\r\n" for c in chunks) + "0\r\n\r\n"
+        parts = warc.segments(body)
+        assert "".join(parts) == block and all(len(p) == warc.SEGMENT_CHARS for p in parts[:-1]) and 0 < len(parts[-1]) <= warc.SEGMENT_CHARS
+    assert warc.segments(None) == [warc._HEAD]
