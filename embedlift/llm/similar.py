@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 import xxhash
 
 _WORD = re.compile(r"\w+")
-_DIGIT = re.compile(r"\d")
+_STRIDE = 64
 
 
 class WordHashes(dict):
@@ -26,11 +27,6 @@ class WordHashes(dict):
 HASHES = WordHashes()
 
 
-def folded_words(text: str | None) -> list[str]:
-    """Words in lower case, digits as 0, without anything between them."""
-    return _WORD.findall(_DIGIT.sub("0", text.lower())) if text else []
-
-
 def words_of(text: str | None) -> list[str]:
     """Words in lower case with their digits, without anything between them."""
     return _WORD.findall(text.lower()) if text else []
@@ -56,10 +52,14 @@ def distance_within(a: Sequence, b: Sequence, most: int) -> int | None:
         return None
     begin = 0
     short = min(n, m)
+    while begin + _STRIDE <= short and a[begin:begin + _STRIDE] == b[begin:begin + _STRIDE]:
+        begin += _STRIDE
     while begin < short and a[begin] == b[begin]:
         begin += 1
     if begin == n == m:
         return 0
+    while min(n, m) - begin >= _STRIDE and a[n - _STRIDE:n] == b[m - _STRIDE:m]:
+        n, m = n - _STRIDE, m - _STRIDE
     while n > begin and m > begin and a[n - 1] == b[m - 1]:
         n, m = n - 1, m - 1
     a, b = a[begin:n], b[begin:m]
@@ -73,10 +73,15 @@ def distance_within(a: Sequence, b: Sequence, most: int) -> int | None:
     reach = {0: 0}  # diagonal (position in b less position in a) -> position in a
 
     def slide(x: int, k: int) -> int:
-        y = x + k
+        y, far = x + k, x + 8
         while x < n and y < m and a[x] == b[y]:
             x += 1
             y += 1
+            if x > far:   # a longer match: compare by strides
+                while max(x - n, y - m) + _STRIDE <= 0 and a[x:x + _STRIDE] == b[y:y + _STRIDE]:
+                    x += _STRIDE
+                    y += _STRIDE
+                far = x + _STRIDE
         return x
 
     reach[0] = slide(0, 0)
@@ -98,6 +103,41 @@ def distance_within(a: Sequence, b: Sequence, most: int) -> int | None:
     return None
 
 
+@lru_cache(256)
+def _places(line: str) -> dict[str, int]:
+    """For each character a number with a bit for every place it stands at."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+    return {chr(c): int.from_bytes(np.packbits(codes == c, bitorder="little").tobytes(), "little") for c in np.unique(codes).tolist()}
+
+
+def bit_distance(a: str, b: str, most: int) -> int | None:
+    """Edit distance of two strings if it is at most ``most``, else None.
+
+    A column of the table of distances is two numbers of ``len(a)`` bits, its rises and falls
+    (Myers 1999), so a step costs a few operations on long numbers. It ends as soon as the rest of
+    ``b`` is too short to bring the distance down to ``most``.
+    """
+    n, m = len(a), len(b)
+    if abs(n - m) > most:
+        return None
+    if not n:
+        return m
+    places, every, last = _places(a), (1 << n) - 1, n - 1
+    up, down, distance = every, 0, n
+    for left, c in zip(range(m - 1, -1, -1), b):
+        here = places.get(c, 0)
+        across = (((here & up) + up) ^ up) | here
+        rise = down | (every & ~(across | up))
+        fall = up & across
+        distance += (rise >> last & 1) - (fall >> last & 1)
+        if distance - left > most:
+            return None
+        rise, fall, here = (rise << 1 | 1) & every, fall << 1 & every, here | down
+        up = fall | (every & ~(here | rise))
+        down = rise & here
+    return distance if distance <= most else None
+
+
 def similar(a: Sequence, b: Sequence, least: float) -> bool:
     """True if at most ``1 - least`` of the longer sequence is edited."""
     longer = max(len(a), len(b))
