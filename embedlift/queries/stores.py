@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from embedlift.functions import variants as V
 from embedlift.operators.transform import map_namespace
 from embedlift.queries import query
-from embedlift.queries.tables import (SRC_SQL, document_records, event_records, id_text, source_records, table)
+from embedlift.queries.tables import (SRC_SQL, document_records, embedded_documents, event_records, id_text, source_records, table)
 from embedlift.sinks.buckets import BucketedCollection
 from embedlift.sinks.collection import Collection
 from embedlift.sinks.exports import write_milvus, write_pinecone, write_qdrant, write_weaviate
