@@ -11,6 +11,7 @@ from embedlift.operators.transform import FieldRule, Mapping
 from embedlift.queries import query
 from embedlift.queries.logs import _bucket_sql, fast_requests
 from embedlift.queries.tables import event_records, table
+from embedlift.sinks.buckets import BucketedCollection
 from embedlift.sinks.collection import Collection
 from embedlift.sources.records import records_from
 from embedlift.sources.streams import CHANGE_DDL, stream_records
@@ -85,6 +86,10 @@ WITH c AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, (l_linenumber * 100000000 +
 newest AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)
 SELECT id, seq, CAST(l_quantity AS BIGINT) AS quantity FROM newest WHERE l_returnflag <> 'R'""")
 def sync_line_items(spark, sf):
+    return _synced(spark, sf, Collection(spark, scratch_path(spark, "cdc-target"), by_seq=True))
+
+
+def _synced(spark, sf, target):
     """Line items as changes of their order; later lines arrive first, so that older changes are late."""
     root = scratch_path(spark, "cdc")
     price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
@@ -95,21 +100,22 @@ def sync_line_items(spark, sf):
     for part, late in enumerate((False, True)):
         newer = F.col("l_linenumber") >= 4
         changes.filter(~newer if late else newer).select("id", "vector", "metadata", "op", "seq").write.parquet(f"{root}/in/part={part}")
-    target = Collection(spark, f"{root}/target", by_seq=True)
     for part in range(2):
         stream = stream_records(spark, f"{root}/in/part={part}", CHANGE_DDL)
         cdc_sync(stream, target, f"{root}/ck-{part}", name=f"cdc-{part}").awaitTermination()
     return target.snapshot().select("id", meta("seq", "bigint").alias("seq"), F.col("vector")[0].cast("bigint").alias("quantity"))
 
 
-@query("validate_stream", """
+_TURNED_SQL = """
 SELECT count(*) AS total_records, count(*) FILTER (WHERE event_type <> 'error') AS valid_records,
        count(*) FILTER (WHERE event_type = 'error') AS invalid_records,
-       round(avg(CASE WHEN event_type = 'error' THEN -1 ELSE 1 END), 6) AS avg_similarity, -1 AS min_similarity, 1 AS max_similarity FROM events""")
-def validate_events(spark, sf):
+       round(avg(CASE WHEN event_type = 'error' THEN -1 ELSE 1 END), 6) AS avg_similarity, -1 AS min_similarity, 1 AS max_similarity FROM events"""
+
+
+def _validated(spark, sf, make):
     """The target has the vectors of error events turned around."""
     root = _record_files(spark, sf, "validate")
-    target = Collection(spark, f"{root}/target")
+    target = make(spark, f"{root}/target")
     is_error = F.try_variant_get("metadata", "$.evt.type", "string") == "error"
     turned = F.when(is_error, F.transform("vector", lambda x: -x)).otherwise(F.col("vector"))
     target.upsert(event_records(spark, sf).withColumn("vector", turned), unique=True)
@@ -119,6 +125,26 @@ def validate_events(spark, sf):
         F.round("min_similarity", 6).alias("min_similarity"), F.round("max_similarity", 6).alias("max_similarity"))
 
 
+@query("validate_stream", _TURNED_SQL)
+def validate_events(spark, sf):
+    return _validated(spark, sf, Collection)
+
+
+@query("validate_stream_buckets", _TURNED_SQL)
+def validate_events_in_buckets(spark, sf):
+    """The same against a collection in buckets, of which each batch opens those of its ids."""
+    return _validated(spark, sf, lambda session, root: BucketedCollection(session, root, buckets=16))
+
+
+@query("cdc_sync_buckets", """
+WITH c AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, (l_linenumber * 100000000 + l_partkey) * 100000 + CAST(round(l_extendedprice * 100) AS BIGINT) % 100000 AS seq, l_quantity, l_returnflag FROM lineitem),
+newest AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)
+SELECT id, seq, CAST(l_quantity AS BIGINT) AS quantity FROM newest WHERE l_returnflag <> 'R'""")
+def sync_line_items_in_buckets(spark, sf):
+    """Late changes meet the newest ``seq`` of their id, or its delete mark, in the bucket they are merged into."""
+    return _synced(spark, sf, BucketedCollection(spark, scratch_path(spark, "cdc-buckets"), buckets=8, by_seq=True))
+
+
 @query("progress_stream", "SELECT 'events' AS migration_id, count(*) AS processed_count, 2 AS batch_no FROM events")
 def progress_of_events(spark, sf):
     root = _record_files(spark, sf, "progress")

@@ -19,6 +19,7 @@ from embedlift.operators.state import StateStore
 from embedlift.operators.transform import ERRORS, Mapping, apply_mapping, check_mapping, migrate_records
 from embedlift.operators.validate import pair_records, sampled, with_similarity
 from embedlift.model import SIMILARITY_THRESHOLD
+from embedlift.sinks.buckets import BucketedCollection
 from embedlift.sinks.collection import Collection
 from embedlift.sinks.merge import dedupe_last_write, has_unique_ids
 
@@ -133,15 +134,18 @@ VALIDATION_DDL = ("batch_no bigint, total_records bigint, valid_records bigint,
                   "similarity_sum double, min_similarity double, max_similarity double")
 
 
-def validate_stream(stream: DataFrame, target: Collection, runs_path: str, checkpoint: str, sample_rate: float = 0.1,
+def validate_stream(stream: DataFrame, target: Collection | BucketedCollection, runs_path: str, checkpoint: str, sample_rate: float = 0.1,
                     threshold: float = SIMILARITY_THRESHOLD, name: str = "validate", continuous: bool = False):
     """Compare a sample of each batch with the target; one row of sums per batch is kept.
 
-    A replayed batch overwrites its own row, so it does not count twice.
+    A replayed batch overwrites its own row, so it does not count twice. Of a collection in buckets
+    only those that hold ids of the sample are opened, whatever the collection's size; of any other
+    one the newest change of every id is looked up for each batch.
     """
     def step(batch: DataFrame, batch_id: str, number: int) -> None:
         sample = sampled(batch, sample_rate)
-        pairs = with_similarity(pair_records(sample, _matching(sample, target.snapshot())))
+        near = target.records_of(sample) if isinstance(target, BucketedCollection) else _matching(sample, target.snapshot())
+        pairs = with_similarity(pair_records(sample, near))
         sums = pairs.agg(
             F.count(F.lit(1)).alias("total_records"),
             F.count_if(F.coalesce(F.col("similarity") >= threshold, F.lit(False))).alias("valid_records"),
