@@ -31,7 +31,6 @@ from embedlift.sinks.commitlog import EVERY, CommitLog, Files, State
 from embedlift.sinks.merge import dedupe_last_write
 
 _BUCKET = "bkt"
-_SPREAD = 64   # buckets to a task, at most, while changes are staged: many small files otherwise
 
 
 class BucketedCollection:
@@ -117,8 +116,7 @@ class BucketedCollection:
         if "seq" not in changes.columns:
             changes = changes.withColumn("seq", F.lit(None).cast("bigint"))
         rows = changes.select(*self._columns, "op", F.col("seq").cast("bigint").alias("seq"), self.bucket_of(F.col("id")).alias(_BUCKET))
-        tasks = -(-self.buckets // _SPREAD)
-        (rows.repartition(max(tasks, min(self.buckets, self.spark.sparkContext.defaultParallelism)), _BUCKET)
+        (rows.repartition(F.col(_BUCKET))   # as many tasks as the changes are large
          .sortWithinPartitions(_BUCKET, "id").write.partitionBy(_BUCKET).parquet(f"{self.root}/{staged}"))
         try:
             touched = [int(n.partition("=")[2]) for n in self._files.names(staged) if n.startswith(f"{_BUCKET}=")]
