@@ -67,7 +67,7 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_pseudo_likelihood")
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = pseudolm.scored(docs, pseudolm.train(docs))
+    found = pseudolm.scored_by_itself(docs)
     return found.select("doc_id", "n_words", F.round("score", 3).alias("score"), F.round("mean_score", 6).alias("mean_score"))
 
 

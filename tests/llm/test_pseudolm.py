@@ -66,3 +66,40 @@ def test_awkward_rows(spark):
     assert by[4].score == by[5].score
     empty = docs.limit(0)
     assert pseudolm.scored(empty, pseudolm.train(empty)).count() == 0
+
+
+def test_scores_are_those_of_each_word_alone_and_do_not_depend_on_the_partitions(spark, monkeypatch):
+    """Every word looked up, surrounded and scored by itself in plain Python."""
+    monkeypatch.setattr(pseudolm, "BLOCK_CHARS", 5000)
+    monkeypatch.setattr(pseudolm, "_PIECE", 64)
+    rng = random.Random(3)
+    texts = [" ".join(chain(rng, rng.randrange(60))) + f" rare{rng.randrange(30)}, Rare{i}!" for i in range(120)]
+    texts += [texts[0]] * 40 + [None, "", " \x1c  "]
+    docs = frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    blocks = pseudolm.coded(docs)
+    words = pseudolm.counted(blocks)
+    numbers = {r.word: (r.number, r.log_share) for r in words.table.collect()}
+    network = pseudolm.fitted(pseudolm.numbered(blocks, words), words)
+    found = {r.doc_id: r for r in pseudolm.scored_by_itself(docs.repartition(7)).collect()}
+    far = [pseudolm._PAD] * 2
+    for i, text in enumerate(texts):
+        own = [numbers[w.strip(pseudolm._ENDS) or w] for w in (text or "").lower().split()]
+        line = far + [n for n, _ in own] + far
+        score = sum(share for _, share in own)
+        for k in range(2, len(line) - 2):
+            hidden = np.tanh(sum(network.sides[s][line[k + side]].astype(float) for s, side in enumerate(pseudolm.SIDES)))
+            row, column = divmod(line[k], pseudolm.COLUMNS)
+            x, y = hidden @ network.row + network.row_bias, hidden @ network.column + network.column_bias[row]
+            score += x[row] - np.log(np.exp(x).sum()) + y[column] - np.log(np.exp(y).sum())
+        assert found[i].n_words == len(own) and abs(found[i].score - score) < 1e-3 * max(1, len(own) / 10)
+    again = {r.doc_id: r for r in pseudolm.scored_by_itself(docs.coalesce(1).orderBy(docs.doc_id.desc())).collect()}
+    assert all(abs(again[i].score - found[i].score) < 1e-4 for i in found)
+
+
+def test_copies_weigh_as_often_as_they_occur():
+    rng = np.random.default_rng(2)
+    network = pseudolm.Network.start(rng.random(pseudolm._SIZE))
+    around, words = rng.integers(0, 50, (6, 4)), rng.integers(0, 50, 6)
+    weights = np.array([1, 2, 3, 1, 1, 2])
+    for p, q in zip(network.gradients(around, words, weights), network.gradients(np.repeat(around, weights, 0), np.repeat(words, weights))):
+        assert np.allclose(p, q, atol=1e-6)
