@@ -55,7 +55,7 @@ _ENDS = ".,;:!?\"'()"
 _FAR = max(map(abs, SIDES))
 assert _PAD < _SIZE
 #: Characters of text coded together, words of a training block, characters split at once.
-BLOCK_CHARS = 8 << 20
+BLOCK_CHARS = 16 << 20
 BLOCK_WORDS = 2_000_000
 _PIECE = 1 << 20
 _SPACE = re.compile(r"\s")
