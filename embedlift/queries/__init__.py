@@ -30,6 +30,6 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> dict[str, Query]:
-    from embedlift.queries import jobs, logs, records, schemas, states, stores, streams, validation  # noqa: F401
+    from embedlift.queries import checksums, jobs, logs, records, schemas, states, stores, streams, validation  # noqa: F401
 
     return CATALOGUE

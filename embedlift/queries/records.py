@@ -285,13 +285,12 @@ def migrate_all_paths(spark, sf):
 @query("check_target_constraints", f"""
 SELECT {EVENT_ID} AS record_id, 'evt' AS field, 'nested object is not allowed' AS message FROM events
 UNION ALL SELECT {DOC_ID}, 'metadata', 'metadata exceeds 40960 bytes' FROM documents
-WHERE length('{{"body":""}}') + 32 * (n_chars // 16) > 40960
+WHERE strlen(CAST(to_json({{'body': text}}) AS VARCHAR)) > 40960
 UNION ALL SELECT {DOC_ID}, 'vector', 'vector is empty' FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)""")
 def constraint_violations(spark, sf):
     d, e = table(spark, sf, "documents"), table(spark, sf, "embeddings")
-    body = F.expr("repeat(md5(text), cast(n_chars div 16 as int))")
     docs = records_from(d.join(e, d.doc_id == e.vec_id, "left").withColumn("id", id_text("doc_id")), "id", "embedding",
-                        {"body": body})
+                        {"body": d.text})
     return check_target_constraints(event_records(spark, sf), "pinecone").unionByName(
         check_target_constraints(docs, "pinecone"))
 
