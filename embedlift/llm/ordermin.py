@@ -8,8 +8,8 @@ rather than overlap of sets. Candidates are links if a banded alignment of their
 most ``1 - SIMILARITY`` of the longer document, and classes are connected components.
 
 Documents with the same words (in lower case, digits as they are) are one item from the start (hash and smallest id are
-combined before the shuffle), so copies cost a row each and no pair. See ``links`` for how
-groups of near copies are joined without all their pairs.
+combined before the shuffle), so copies cost a row each and no pair. See ``blocks`` for how
+groups of near copies are joined without all their pairs, and large buckets compared in full.
 
 Recall: two documents whose k-mer sets have a Jaccard similarity of 0.8 agree in one sketch
 with a probability near 0.8 ** PICKS, so all 16 sketches miss a pair in about 1 of 90,000 cases.
@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from embedlift.llm.links import linked
+from embedlift.llm.blocks import linked_in_full
 from embedlift.llm.similar import hashed, similar, words_of
 from embedlift.workspace import write_once
 
@@ -37,6 +37,8 @@ WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 PICKS = 3
+#: Bins of words, compared before any alignment.
+BINS = 256
 _ODD = np.random.default_rng(20240229).integers(1 << 62, size=SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -108,11 +110,25 @@ def _words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(texts, pa.binary())], names=["key", "words"])
 
 
-def _aligned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        good = [similar(np.frombuffer(x, np.uint32).tolist(), np.frombuffer(y, np.uint32).tolist(), SIMILARITY)
-                for x, y in zip(batch.column(2), batch.column(3)) for x, y in [(x.as_buffer(), y.as_buffer())]]
-        yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+class Texts:
+    """Which of a list of texts, as 32-bit hashes of words, are links (see ``blocks``)."""
+
+    def __init__(self, items: pa.Array):
+        self.words = [np.frombuffer(x.as_buffer(), np.uint32) for x in items]
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
+        self.bins = np.stack([np.bincount(w % np.uint32(BINS), minlength=BINS) for w in self.words]).astype(np.int32)
+
+    def linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        longer = np.maximum(self.sizes[a], self.sizes[b])
+        least = longer - (longer - SIMILARITY * longer + 1e-9).astype(np.int64)
+        left = np.flatnonzero(np.minimum(self.sizes[a], self.sizes[b]) >= least)
+        # each edit takes one word, so links share that many; what shares a bin counts as equal
+        at = [left[k:k + 4096] for k in range(0, len(left), 4096)]
+        shared = [np.minimum(self.bins[a[i]], self.bins[b[i]]).sum(axis=1) for i in at]
+        left = left[np.concatenate(shared) >= least[left]] if at else left
+        out = np.zeros(len(a), bool)
+        out[left] = [similar(self.words[x].tolist(), self.words[y].tolist(), SIMILARITY) for x, y in zip(a[left].tolist(), b[left].tolist())]
+        return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -126,12 +142,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     firsts = (found.join(candidates.select(F.col("id").alias("key")).distinct(), "key").groupBy("key").agg(F.min("doc").alias("doc")))
     words = write_once(source.join(firsts, source["doc"].eqNullSafe(firsts["doc"]), "left_semi").select("text").mapInArrow(_words, "key binary, words binary").dropDuplicates(["key"]), "sketch-words")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("x")), "a")
-                .join(words.select(F.col("key").alias("b"), F.col("words").alias("y")), "b")
-                .select("a", "b", "x", "y").mapInArrow(_aligned, "a binary, b binary"))
-
-    groups = write_once(linked(candidates, verify), "sketch-groups")
+    items = words.select(F.col("key").alias("id"), F.col("words").alias("item"), F.expr("length(words) div 4").alias("size"))
+    groups = write_once(linked_in_full(candidates, items, Texts, SIMILARITY), "sketch-groups")
     counted = found.groupBy("key").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n"))
     classed = counted.join(groups.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     classes = classed.groupBy("component").agg(F.min("first").alias("class_id"), F.sum("n").alias("class_size"))
