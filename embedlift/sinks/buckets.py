@@ -2,7 +2,7 @@
 
 ``bucket = pmod(xxhash64(id), buckets)``. A merge stages its changes by bucket, reads the touched
 buckets, and writes them anew to a folder of its own; nothing that a reader may hold is changed. One
-shuffle brings old rows and changes of a bucket together, sorted by id, and the newest row of each
+shuffle brings old rows and changes of a bucket (of a slice of it, if it is large) together, sorted by id, and the newest row of each
 id stays. The commit then names the new folders (:mod:`commitlog`). So the current version has one
 row per id: reading it groups, joins and sorts nothing, and a reader that wants certain ids opens
 their buckets only.
@@ -11,7 +11,7 @@ Any number of writers can work at once. Who finds the next number taken looks at
 commits in between: if none is its own, its files are still right and it takes the next number;
 buckets that did change are merged again from the staged changes, the rest stays as written.
 
-Choose ``buckets`` so that one bucket fits a task (about 1 GB); it is fixed when the collection is
+Choose ``buckets`` by what a merge may rewrite (about 1 GB each); the number is fixed when the collection is
 made and written down. The append-only :class:`~embedlift.sinks.collection.Collection` is the better
 one for small changes to ids all over a large target; this one for reading often, for merges that
 meet part of the target, and for several writers.
@@ -31,6 +31,8 @@ from embedlift.sinks.commitlog import EVERY, CommitLog, Files, State
 from embedlift.sinks.merge import dedupe_last_write
 
 _BUCKET = "bkt"
+#: Rows of a bucket that one task merges; a larger bucket is merged in slices by id, a file each.
+SLICE_ROWS = 100_000
 
 
 class BucketedCollection:
@@ -116,7 +118,7 @@ class BucketedCollection:
         if "seq" not in changes.columns:
             changes = changes.withColumn("seq", F.lit(None).cast("bigint"))
         rows = changes.select(*self._columns, "op", F.col("seq").cast("bigint").alias("seq"), self.bucket_of(F.col("id")).alias(_BUCKET))
-        (rows.repartition(F.col(_BUCKET))   # as many tasks as the changes are large
+        (rows.hint("rebalance", F.col(_BUCKET))   # as many tasks as the changes are large, several for a large bucket
          .sortWithinPartitions(_BUCKET, "id").write.partitionBy(_BUCKET).parquet(f"{self.root}/{staged}"))
         try:
             touched = [int(n.partition("=")[2]) for n in self._files.names(staged) if n.startswith(f"{_BUCKET}=")]
@@ -147,9 +149,11 @@ class BucketedCollection:
             self._rows([f"{staged}/{_BUCKET}={b}" for b in old]).withColumn("_new", F.lit(1)))
         rows = rows.withColumn(_BUCKET, self.bucket_of(F.col("id")))
         newest = [F.desc_nulls_last("seq"), F.desc("_new")] if self.by_seq else [F.desc("_new")]
-        # the window keeps the partitioning by bucket, so this is the only shuffle
-        rank = F.row_number().over(Window.partitionBy(_BUCKET, "id").orderBy(*newest))
-        rows = rows.repartition(len(old), _BUCKET).withColumn("_rank", rank).filter("_rank = 1")
+        slices = max(1, -(-rows.count() // (len(old) * SLICE_ROWS)))   # the files' footers have the counts
+        rows = rows.withColumn("_slice", F.pmod(F.xxhash64("id", F.lit("slice")), F.lit(slices)))
+        # the window keeps the partitioning by slices of buckets, so this is the only shuffle
+        rank = F.row_number().over(Window.partitionBy(_BUCKET, "_slice", "id").orderBy(*newest))
+        rows = rows.repartition(len(old) * slices, _BUCKET, "_slice").withColumn("_rank", rank).filter("_rank = 1")
         if not self.by_seq:
             rows = rows.filter(F.col("op") == UPSERT)
         elif self._oldest is not None:

@@ -166,3 +166,16 @@ def test_a_stream_of_changes_and_unused_folders(spark, scratch, records):
     cdc_sync(stream_records(spark, f"{scratch}/in", CHANGE_DDL, files_per_batch=1), store, f"{scratch}/ck").awaitTermination()
     assert len(ids(store.snapshot())) == 40 and store.version() == 4 and list(store.log.head().streams.values()) == [3]
     assert len(store.remove_unused(keep=1)) == 3 and len(ids(store.snapshot())) == 40
+
+
+def test_a_large_bucket_is_merged_in_slices(spark, scratch, records, monkeypatch):
+    """No task gets a whole bucket; before, each was one file by one task."""
+    monkeypatch.setattr("embedlift.sinks.buckets.SLICE_ROWS", 100)
+    store = BucketedCollection(spark, scratch, buckets=2)
+    store.upsert(many(records, 1000, 1))
+    store.upsert(many(records, 600, 2))
+    store.delete(many(records, 50, 0))
+    assert sorted((r["id"], r["n"]) for r in store.snapshot().selectExpr("id", "variant_get(metadata, '$.n', 'int') n").collect()) == [
+        (f"k{i:04}", 2 if i < 600 else 1) for i in range(50, 1000)]
+    files = [r[0] for r in store.snapshot(buckets=[0]).select(F.input_file_name()).distinct().collect()]
+    assert len(files) >= 3
