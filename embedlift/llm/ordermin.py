@@ -30,15 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from embedlift.llm.blocks import linked_in_full
-from embedlift.llm.similar import hashed, similar, words_of
+from embedlift.llm.similar import hashed, texts_within, words_of
 from embedlift.workspace import write_once
 
 WORDS = 5
 SIMILARITY = 0.8
 SKETCHES = 16
 PICKS = 3
-#: Bins of words, compared before any alignment.
-BINS = 256
+#: Bins of words, compared one after the other before any alignment.
+BINS = (256, 4096)
 _ODD = np.random.default_rng(20240229).integers(1 << 62, size=SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = np.uint64(0xFF51AFD7ED558CCD)
 
@@ -116,21 +116,27 @@ class Texts:
     def __init__(self, items: pa.Array):
         self.words = [np.frombuffer(x.as_buffer(), np.uint32) for x in items]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
-        self.bins = np.stack([np.bincount(w % np.uint32(BINS), minlength=BINS) for w in self.words]).astype(np.int32)
+        self.bins = [_narrow(np.stack([np.bincount(w % np.uint32(n), minlength=n) for w in self.words])) for n in BINS]
 
     def linked(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         longer = np.maximum(self.sizes[a], self.sizes[b])
-        least = longer - (longer - SIMILARITY * longer + 1e-9).astype(np.int64)
-        left = np.flatnonzero(np.minimum(self.sizes[a], self.sizes[b]) >= least)
-        # each edit takes one word, so links share that many; what shares a bin counts as equal
-        at = [left[k:k + 4096] for k in range(0, len(left), 4096)]
-        shared = [np.minimum(self.bins[a[i]], self.bins[b[i]]).sum(axis=1) for i in at]
-        left = left[np.concatenate(shared) >= least[left]] if at else left
+        most = (longer - SIMILARITY * longer + 1e-9).astype(np.int64)
+        left = np.flatnonzero(np.abs(self.sizes[a] - self.sizes[b]) <= most)
+        # each edit takes one word, so links share the rest; what shares a bin counts as equal
+        for bins in self.bins:
+            at = [left[k:k + 1024] for k in range(0, len(left), 1024)]
+            shared = [np.minimum(bins[a[i]], bins[b[i]]).sum(axis=1, dtype=np.int64) for i in at]
+            left = left[np.concatenate(shared) >= (longer - most)[left]] if at else left
         out = np.zeros(len(a), bool)
-        out[left] = [similar(self.words[x].tolist(), self.words[y].tolist(), SIMILARITY) for x, y in zip(a[left].tolist(), b[left].tolist())]
+        out[left] = texts_within(self.words, a[left], b[left], most[left])
         return out
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """The same numbers in one byte each, if they go into it."""
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.int32)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``class_id`` (smallest id of the class) and ``class_size`` of every row."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))

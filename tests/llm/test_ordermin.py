@@ -1,6 +1,7 @@
 import random
 
 from embedlift.llm import links, ordermin
+from embedlift.llm import similar as similar_module
 from embedlift.llm.similar import words_of, similar
 from llm.fixtures import SCHEMA, awkward, frame, sentence
 
@@ -84,3 +85,25 @@ def test_components_of_a_long_chain(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)]
     got = {r.id: r.component for r in links.components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_texts_with_one_long_passage_are_compared_in_columns():
+    rng = random.Random(11)
+    passage = [rng.randrange(500) for _ in range(240)]
+    texts = []
+    for _ in range(90):
+        words = passage + [rng.randrange(500) for _ in range(rng.randint(0, 160))]
+        for _ in range(rng.randint(0, 30)):
+            at = rng.randrange(len(words))
+            words[at:at + rng.randint(0, 1)] = [rng.randrange(500)] * rng.randint(0, 1)
+        texts.append(words)
+    items = ordermin.pa.array([ordermin.np.array(w, "uint32").tobytes() for w in [*texts, []]], ordermin.pa.binary())
+    a, b = ordermin.np.triu_indices(len(items), 1)
+    alone = []
+    kept, similar_module.distance_within = similar_module.distance_within, lambda *x: alone.append(x) or kept(*x)
+    try:
+        got = ordermin.Texts(items).linked(a, b)
+    finally:
+        similar_module.distance_within = kept
+    assert got.tolist() == [similar([*texts, []][x], [*texts, []][y], ordermin.SIMILARITY) for x, y in zip(a.tolist(), b.tolist())]
+    assert 0 < got.sum() < len(a) and len(alone) < len(a) // 10
