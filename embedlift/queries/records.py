@@ -15,6 +15,7 @@ from embedlift.queries.tables import (deep_records, SRC_SQL, document_records, e
 from embedlift.sources.batches import assign_batches, get_batch, resume_filter
 from embedlift.sources.checks import check_source
 from embedlift.sources.records import records_from, records_with_rejects
+from embedlift.workspace import write_once
 
 DOC_ID = "lpad(CAST(doc_id AS VARCHAR), 10, '0')"
 EVENT_ID = "lpad(CAST(event_id AS VARCHAR), 10, '0')"
@@ -266,13 +267,14 @@ def _shapes_sql() -> str:
 
 @query("migrate_records", _shapes_sql())
 def migrate_all_paths(spark, sf):
-    rows = event_records(spark, sf)
+    rows = write_once(event_records(spark, sf), "all-paths")   # built once, not for every pair
+    depth = max(1, V.nesting(rows))   # the same records for every pair, so their levels are counted once
     found = None
     for src in PROFILES:
         for dst in PROFILES:
             if src == dst:
                 continue
-            got = T.migrate_records(rows, Mapping.identity(src, dst, ["evt", "k", "tags", "score"]))
+            got = T.migrate_records(rows, Mapping.identity(src, dst, ["evt", "k", "tags", "score"]), depth=depth)
             origin = F.col("source_id") if "source_id" in got.columns else F.col("id")
             part = got.select(
                 F.lit(src).alias("source_type"), F.lit(dst).alias("target_type"), origin.alias("source_id"),

@@ -125,3 +125,16 @@ def test_field_names_with_odd_characters(records, metadata_of):
     df = records([("1", V2, '{"a.b": 1, "sp ace": 2, "q\'x": 3}')])
     mapping = Mapping("qdrant", "milvus", (FieldRule("a.b", "ab"), FieldRule("sp ace", "s"), FieldRule("q'x", "q")))
     assert metadata_of(T.map_records(df, mapping)) == {"1": {"ab": 1, "s": 2, "q": 3}}
+
+
+def test_all_paths_count_the_levels_of_one_table_once(spark, scratch, monkeypatch):
+    from embedlift.queries import records as queries
+
+    rows = [(i, i % 3, "view", float(i) + 0.5, '{"k": %d}' % i) for i in range(5)]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string").write.parquet(f"{scratch}/events.parquet")
+    counted, real = [], V.nesting
+    monkeypatch.setattr(V, "nesting", lambda *args: counted.append(1) or real(*args))
+    got = queries.migrate_all_paths(spark, scratch).groupBy("target_type", "field_names").count().collect()
+    assert len(counted) == 1
+    assert {r.field_names for r in got if r.target_type == "pinecone"} == {"evt_type,evt_value,k,score,tags"}
+    assert sum(r["count"] for r in got) == 5 * len(queries.PROFILES) * (len(queries.PROFILES) - 1)
