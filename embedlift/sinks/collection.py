@@ -108,7 +108,7 @@ class Collection:
             changes = changes.withColumn("seq", F.lit(None).cast("bigint"))
         rows = changes.select(*self._columns, "op", F.col("seq").cast("bigint").alias("seq"),
                               F.lit(version).cast("bigint").alias("version"))
-        rows.sortWithinPartitions("id").write.parquet(path)
+        rows.write.parquet(path)   # as they come: a sort would hold or spill a task's whole part of the records
         self._append_log(Commit(version, head, "delta", batch_id, path))
         return version
 

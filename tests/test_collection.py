@@ -84,3 +84,16 @@ def test_upsert_without_order_adds_one_record_per_id(spark, records):
     target, delta = records([("a", [1.0], "{}")]), records([("a", [2.0], "{}"), ("a", [3.0], "{}"), ("b", [4.0], "{}")])
     got = upsert(target, delta)
     assert sorted(r["id"] for r in got.collect()) == ["a", "b"]
+
+
+def test_changes_are_written_without_a_sort(spark, scratch, records, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    def refuse(*_):
+        raise AssertionError("a sort holds a task's whole part of the records")
+
+    target = Collection(spark, scratch)
+    monkeypatch.setattr(DataFrame, "sortWithinPartitions", refuse)
+    target.upsert(records([("b", [1.0], "{}"), ("a", [2.0], "{}")]))
+    target.upsert(records([("a", [3.0], "{}")]))
+    assert sorted((r.id, list(r.vector)) for r in target.snapshot().collect()) == [("a", [3.0]), ("b", [1.0])]
