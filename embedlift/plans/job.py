@@ -151,6 +151,7 @@ def _run(source, target, state, config, run, done, failed, batches, last_id=None
                 expected = migrate_records(part, config.mapping, config.on_error)
                 summary, _ = validate_migration(expected, target.snapshot(), config.sample_rate)
                 found = summary.first()
+                summary = summary.sparkSession.createDataFrame([found], summary.schema)   # the pairs are not compared again for the alert
                 validation = (found["total_records"], found["avg_similarity"], found["min_similarity"], found["max_similarity"])
                 alert = rollback_alert(summary).first()
             if step % config.checkpoint_every == 0 or alert:

@@ -148,3 +148,24 @@ def test_dual_write_repairs_a_sink_that_missed_a_batch(spark, scratch):
     assert a.version() == 1 and b.version() == 0
     dual_write(stream_records(spark, f"{scratch}/in"), [(a, None), (b, MAPPING)], f"{scratch}/ck").awaitTermination()
     assert a.version() == 1 and b.snapshot().count() == 20
+
+
+def test_the_alert_does_not_compare_the_pairs_again(spark, scratch, tmp_path, monkeypatch):
+    import uuid
+
+    from embedlift.plans import job
+
+    real = job.validate_migration
+
+    def counted(*args):
+        summary, errors = real(*args)
+
+        def pass_on(batches):
+            (tmp_path / uuid.uuid4().hex).touch()   # one for each time the summary is computed
+            yield from batches
+        return summary.coalesce(1).mapInArrow(pass_on, summary.schema), errors
+
+    monkeypatch.setattr(job, "validate_migration", counted)
+    target, state = stores(spark, scratch)
+    assert run_migration(source(spark), target, state, MigrationConfig("m", MAPPING, validate_every=1, sample_rate=1.0)) == "completed"
+    assert len(list(tmp_path.iterdir())) == 1 and state.checkpoint("m")["validation"]["sampled"] == 60
