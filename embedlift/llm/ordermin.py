@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from embedlift.llm.base import in_small_batches
 from embedlift.llm.blocks import linked_in_full
 from embedlift.llm.similar import hashed, texts_within, words_of
 from embedlift.workspace import write_once
@@ -140,13 +141,13 @@ def _narrow(counts: np.ndarray) -> np.ndarray:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``class_id`` (smallest id of the class) and ``class_size`` of every row."""
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    found = write_once(source.mapInArrow(_sketched, "doc long, key binary, marks array<long>"), "sketches")
+    found = in_small_batches(source.mapInArrow(_sketched, "doc long, key binary, marks array<long>"), "sketches")
     marks = found.select("key", F.explode("marks").alias("bucket")).distinct()
     shared = marks.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     candidates = write_once(marks.join(shared, "bucket").select("bucket", F.col("key").alias("id")), "sketch-buckets")
     # one row of the documents with a candidate's words gives them
     firsts = (found.join(candidates.select(F.col("id").alias("key")).distinct(), "key").groupBy("key").agg(F.min("doc").alias("doc")))
-    words = write_once(source.join(firsts, source["doc"].eqNullSafe(firsts["doc"]), "left_semi").select("text").mapInArrow(_words, "key binary, words binary").dropDuplicates(["key"]), "sketch-words")
+    words = in_small_batches(source.join(firsts, source["doc"].eqNullSafe(firsts["doc"]), "left_semi").select("text").mapInArrow(_words, "key binary, words binary").dropDuplicates(["key"]), "sketch-words")
 
     items = words.select(F.col("key").alias("id"), F.col("words").alias("item"), F.expr("length(words) div 4").alias("size"))
     groups = write_once(linked_in_full(candidates, items, Texts, SIMILARITY), "sketch-groups")

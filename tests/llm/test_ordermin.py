@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from embedlift.llm import links, ordermin
 from embedlift.llm import similar as similar_module
 from embedlift.llm.similar import words_of, similar
@@ -107,3 +109,22 @@ def test_texts_with_one_long_passage_are_compared_in_columns():
         similar_module.distance_within = kept
     assert got.tolist() == [similar([*texts, []][x], [*texts, []][y], ordermin.SIMILARITY) for x, y in zip(a.tolist(), b.tolist())]
     assert 0 < got.sum() < len(a) and len(alone) < len(a) // 10
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """At 10,000 long texts a batch the executor of the pipeline took more than its memory."""
+    sketched = ordermin._sketched
+
+    def counted(batches):
+        def small(batches):
+            for batch in batches:
+                assert batch.num_rows <= 1000, batch.num_rows
+                yield batch
+        yield from sketched(small(batches))
+
+    monkeypatch.setattr(ordermin, "_sketched", counted)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), "id").alias("text"))
+    assert ordermin.near_duplicates(docs).count() == 3000
+    assert spark.conf.get(key) == before
