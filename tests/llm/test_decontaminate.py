@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -74,3 +75,15 @@ def test_empty_tables(spark):
     assert decontaminate.leaks(docs.limit(0), items).count() == 0
     assert decontaminate.leaks(docs, items.limit(0)).count() == 0
     assert decontaminate.decontaminated(docs, items.limit(0)).count() == len(awkward())
+
+
+def test_similarity_of_many_shingles_takes_no_square(spark):
+    rng = random.Random(3)
+    pairs = [([rng.randrange(n) for _ in range(rng.randint(1, 12))], [rng.randrange(n) for _ in range(rng.randint(1, 12))]) for n in (3, 12, 500) for _ in range(60)]
+    pairs += [(list(range(12_000)), list(range(6_000, 18_000))), (list(range(12_000)), [5] * 6_000 + list(range(6_000)))]
+    began = time.time()
+    got = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a array<long>, b array<long>").select("i", decontaminate._weighted_similarity(F.col("a"), F.col("b")).alias("s")).collect()
+    assert time.time() - began < 10
+    for i, s in got:
+        a, b = map(Counter, pairs[i])
+        assert abs(s - sum((a & b).values()) / sum((a | b).values())) < 1e-12
